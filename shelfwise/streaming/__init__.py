@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The original pipeline has no stream, watermark, window or state; every stage
+reads whole inputs and rewrites whole outputs. Nothing here is built so that
+no operator exists that the original does not have.
+"""
