@@ -58,6 +58,13 @@ def global_positions(
     keys = [_as_col(c) for c in order_cols]
     n = _partition_count(df, num_partitions)
     parted = df.repartitionByRange(n, *keys)
+    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        # Both consumers below must see one and the same range partitioning.
+        # Spark guarantees that by reusing the exchange; without reuse, store
+        # the partitioned rows once in the shared checkpoint folder.
+        from shelfwise.session import materialize
+
+        parted = materialize(parted)
 
     # Row count per partition; reads the same (reused) range exchange.
     counts = parted.groupBy(F.spark_partition_id().alias("_sw_pid")).agg(
