@@ -30,12 +30,17 @@ from shelfwise.functions.uri import clean_genre, clean_subject, strip_resource
 
 
 def _order_key(entity_order: str | None, triple_order: str | None) -> Column:
-    fields = [F.col(entity_order or "id").alias("e")]
+    fields = [F.col("_eo" if entity_order else "id").alias("e")]
     if triple_order:
-        fields.append(F.col(triple_order).alias("t"))
+        fields.append(F.col("_to").alias("t"))
     return F.struct(*fields)
 
 
+def _entities(entities: DataFrame, entity_order: str | None) -> DataFrame:
+    extra = [F.col(entity_order).alias("_eo")] if entity_order else []
+    return entities.select("id", "prop", *extra)
+
+
 def item_features(
     item_prop: DataFrame,
     entities: DataFrame,
@@ -50,9 +55,9 @@ def item_features(
     """
     used = (PROP_AUTHOR, PROP_SERIES, PROP_GENRE, PROP_PUBLISHER, PROP_SUBJECT)
     triples = item_prop.select(
-        "item_id", "id", "type", *([triple_order] if triple_order else [])
+        "item_id", "id", "type", *([F.col(triple_order).alias("_to")] if triple_order else [])
     )
-    ents = entities.select("id", "prop", *([entity_order] if entity_order else []))
+    ents = _entities(entities, entity_order)
     # Left join keeps items whose triples all miss the entity table; only
     # triples of used codes need the URI, the rest just carry the item id.
     joined = triples.join(ents, "id", "left")
@@ -85,7 +90,7 @@ def item_features(
 def first_publisher(item_prop: DataFrame, entities: DataFrame, entity_order: str | None = None) -> DataFrame:
     """A2 alone: ``item_id, publisher`` for items with at least one publisher."""
     pubs = item_prop.where(F.col("type") == PROP_PUBLISHER).select("item_id", "id")
-    ents = entities.select("id", "prop", *([entity_order] if entity_order else []))
+    ents = _entities(entities, entity_order)
     order = _order_key(entity_order, None)
     return pubs.join(ents, "id").groupBy("item_id").agg(
         F.min_by(strip_resource(F.col("prop")), order).alias("publisher")
@@ -95,7 +100,7 @@ def first_publisher(item_prop: DataFrame, entities: DataFrame, entity_order: str
 def item_subjects(item_prop: DataFrame, entities: DataFrame, entity_order: str | None = None) -> DataFrame:
     """A3 + F3 alone: ``item_id, subject`` (ordered, trailing comma)."""
     subs = item_prop.where(F.col("type") == PROP_SUBJECT).select("item_id", "id")
-    ents = entities.select("id", "prop", *([entity_order] if entity_order else []))
+    ents = _entities(entities, entity_order)
     order = _order_key(entity_order, None)
     v = clean_subject(F.col("prop"))
     arr = F.array_sort(F.collect_list(F.when(v.isNotNull(), F.struct(order.alias("o"), v.alias("v")))))
