@@ -25,7 +25,9 @@ from shelfwise.session import build_session  # noqa: E402
 HEADLINE = {
     "item_features": lambda p: [p.item_features],
     "split_assignment": lambda p: [p.split_assignment],
-    "examples_all_splits": lambda p: [p.examples_split(s) for s in ("train", "dev", "test")],
+    # train, dev and test come out of one plan (a ``split`` column), as a
+    # pipeline writes them (``partitionBy("split")``).
+    "examples_all_splits": lambda p: [p.examples],
     "text_examples": lambda p: [p.text_examples],
     "prompts_text_multi": lambda p: [p.prompts_text_multi],
     "scored_ranking": lambda p: [p.scored_ranking],

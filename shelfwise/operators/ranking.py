@@ -67,10 +67,13 @@ def global_positions(
         parted = materialize(parted)
 
     # Row count per partition; reads the same (reused) range exchange.
-    counts = parted.groupBy(F.spark_partition_id().alias("_sw_pid")).agg(
-        F.count(F.lit(1)).alias("_sw_n")
+    counts = (
+        parted.groupBy(F.spark_partition_id().alias("_sw_pid"))
+        .agg(F.count(F.lit(1)).alias("_sw_n"))
+        .coalesce(1)
     )
-    # At most `n` rows: a single-partition running sum is bounded and cheap.
+    # At most `n` rows in one task: the running sum is bounded and cheap, and
+    # coalesce(1) on this tiny table saves a second exchange.
     offsets = counts.select(
         "_sw_pid",
         (F.sum("_sw_n").over(Window.orderBy("_sw_pid")) - F.col("_sw_n")).alias("_sw_off"),

@@ -6,8 +6,15 @@
     texts ─ truncate ─ text examples / ranking candidates ─ prompts ─ score ─ rank
     raw_test + texts / item_features ─ ground truth ─ evaluable predictions
 
-Nothing runs until an action; shared sub-plans (item features, split,
-examples) are the same DataFrame objects, so Spark can reuse their exchanges.
+With ``materialize=True`` the stage outputs that several later stages read
+(interactions, item features, split, examples) are written once as parquet in
+the shared ``spark.checkpoint.dir`` (as the original pipeline writes interim
+and processed files): lineage is cut, a lost executor never recomputes the
+whole upstream and every later query reads the stored rows. That is the mode
+for a production run at scale. The default keeps one lazy plan per query,
+which lets independent stages run concurrently and is faster for a single
+query on small inputs. Model scores are always materialised (the model must
+run once per prompt).
 """
 
 from __future__ import annotations
@@ -20,6 +27,7 @@ from pyspark.sql import functions as F
 from shelfwise.fixed_values import DEV_FRACTION, MAX_TEXT_TOKENS, SPLIT_SEED
 from shelfwise.operators import examples as ex
 from shelfwise.operators import export, features, metrics, profiles, prompts, scoring, split, truncate
+from shelfwise.session import materialize
 from shelfwise.sources.fixtures import FixtureViews, build_run_answers
 
 
@@ -33,19 +41,24 @@ class RecPlan:
         dev_fraction: float = DEV_FRACTION,
         seed: int = SPLIT_SEED,
         max_tokens: int = MAX_TEXT_TOKENS,
+        materialize: bool = False,
     ):
         self.spark = spark
-        self.views = FixtureViews(spark, sf_dir)
+        self.materialize = materialize
+        self.views = FixtureViews(spark, sf_dir, materialize)
         self.scorer = scorer or scoring.StubScorer()
         self.runs = runs or prompts.default_runs()
         self.dev_fraction = dev_fraction
         self.seed = seed
         self.max_tokens = max_tokens
 
+    def _stage(self, df: DataFrame) -> DataFrame:
+        return materialize(df) if self.materialize else df
+
     # -- C1 -----------------------------------------------------------------
     @cached_property
     def item_features(self) -> DataFrame:
-        return features.item_features(self.views.item_prop, self.views.mapping_entities)
+        return self._stage(features.item_features(self.views.item_prop, self.views.mapping_entities))
 
     @cached_property
     def item_first_publisher(self) -> DataFrame:
@@ -58,7 +71,7 @@ class RecPlan:
     # -- C2 -----------------------------------------------------------------
     @cached_property
     def split_assignment(self) -> DataFrame:
-        return split.assign_split(self.views.raw_train, self.dev_fraction, self.seed)
+        return self._stage(split.assign_split(self.views.raw_train, self.dev_fraction, self.seed))
 
     @cached_property
     def split_counts_by_user(self) -> DataFrame:
@@ -73,7 +86,7 @@ class RecPlan:
     @cached_property
     def examples(self) -> DataFrame:
         rows = profiles.tag_splits(self.split_assignment, self.views.raw_test)
-        return profiles.build_examples(rows, self.user_profiles, self.item_features)
+        return self._stage(profiles.build_examples(rows, self.user_profiles, self.item_features))
 
     def examples_split(self, name: str) -> DataFrame:
         return profiles.examples_of(self.examples, name)

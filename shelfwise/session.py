@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of ours wants, local or cluster. A cluster launcher
 # may override any of them; we only fill in what is not set already.
@@ -16,6 +17,9 @@ _DEFAULTS = {
     # AQE turns a sort-merge join into a broadcast join at runtime only when
     # the measured shuffle output of one side is below this size.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    # Coalesce small shuffle partitions, but not below 64 KB: CPU-heavy stages
+    # (string rendering, hashing) otherwise end up on two or three cores.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
@@ -61,12 +65,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def materialize(df):
-    """Cut lineage: reliable checkpoint in the shared checkpoint folder.
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage: write ``df`` once as a parquet table in the shared
+    checkpoint folder and continue from the stored files.
 
-    Used after expensive Python stages (model scoring) so that later passes
-    (range-partition sampling, recomputation after a lost executor) read the
-    stored rows instead of running the model again.
+    Used after expensive stages (model scoring, stage outputs read by several
+    later stages). Unlike ``DataFrame.checkpoint`` the plan runs exactly once,
+    the files are columnar, and later filters and projections are pushed into
+    the scan. A lost executor never forces the upstream to run again.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/shelfwise-{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.fixed_values import CATEGORY_MARKER, RESOURCE_PREFIX
 from shelfwise.operators.ranking import rank_within_groups
+from shelfwise.session import materialize
 from shelfwise.sources.tables import read_table
 
 
@@ -49,33 +50,46 @@ def _train_rule() -> F.Column:
 
 
 def build_entity_src(part: DataFrame, lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
+    """Distinct (item_id, type, prop) triples before entity numbering.
+
+    The six part-derived properties come from one scan of ``part``: each row
+    generates its candidate triples with ``explode`` and absent ones (modulo
+    rule of the fixture) are dropped, instead of scanning ``part`` six times.
+    """
     p = part.select("p_partkey", "p_brand", "p_type", "p_name", "p_size")
     key = F.col("p_partkey")
 
     def res(*parts: F.Column) -> F.Column:
         return F.concat(F.lit(RESOURCE_PREFIX), *parts)
 
-    def branch(df: DataFrame, code: int, prop: F.Column, item: str = "p_partkey") -> DataFrame:
-        return df.select(F.col(item).alias("item_id"), F.lit(code).alias("type"), prop.alias("prop"))
-
-    author = branch(p.where(key % 11 != 0), 2, res(F.col("p_brand")))
-    genre = branch(p.where(key % 7 != 0), 4, res(F.col("p_type"), F.lit("_(genre)")))
-    series = branch(p.where(key % 13 != 0), 3, res(F.col("p_name")))
+    def word(n: int) -> F.Column:
+        return F.split_part(F.col("p_name"), F.lit(" "), F.lit(n))
+
+    candidates = [
+        (2, key % 11 != 0, res(F.col("p_brand"))),
+        (4, key % 7 != 0, res(F.col("p_type"), F.lit("_(genre)"))),
+        (3, key % 13 != 0, res(F.col("p_name"))),
+        (7, F.lit(True), res(F.lit(CATEGORY_MARKER), word(1))),
+        (7, F.lit(True), res(F.lit(CATEGORY_MARKER), word(2))),
+        (6, F.lit(True), res(F.lit("size_"), F.col("p_size").cast("string"))),
+    ]
+    gen = F.array(*[
+        F.struct(F.lit(code).alias("type"), F.when(keep, prop).alias("prop"), keep.alias("keep"))
+        for code, keep, prop in candidates
+    ])
+    from_part = (
+        p.select(key.alias("item_id"), F.explode(gen).alias("t"))
+        .where(F.col("t.keep"))
+        .select("item_id", F.col("t.type").alias("type"), F.col("t.prop").alias("prop"))
+    )
     # Publisher: one entity per supplier of the part. Reduce lineitem to its
     # distinct (part, supplier) pairs first (partial aggregation map-side).
     pairs = lineitem.select("l_partkey", "l_suppkey").distinct()
     sup = supplier.select("s_suppkey", "s_name")
-    publisher = branch(
-        pairs.join(sup, pairs["l_suppkey"] == sup["s_suppkey"]), 5, res(F.col("s_name")), "l_partkey"
+    publisher = pairs.join(sup, pairs["l_suppkey"] == sup["s_suppkey"]).select(
+        F.col("l_partkey").alias("item_id"), F.lit(5).alias("type"), res(F.col("s_name")).alias("prop")
     )
-    word = lambda n: F.split_part(F.col("p_name"), F.lit(" "), F.lit(n))
-    subject1 = branch(p, 7, res(F.lit(CATEGORY_MARKER), word(1)))
-    subject2 = branch(p, 7, res(F.lit(CATEGORY_MARKER), word(2)))
-    size = branch(p, 6, res(F.lit("size_"), F.col("p_size").cast("string")))
-    out = author
-    for b in (genre, series, publisher, subject1, subject2, size):
-        out = out.unionByName(b)
-    return out.distinct()
+    return from_part.unionByName(publisher).distinct()
 
 
 def build_mapping_entities(entity_src: DataFrame) -> DataFrame:
@@ -88,16 +102,18 @@ def build_mapping_entities(entity_src: DataFrame) -> DataFrame:
 class FixtureViews:
     """Lazily built DataFrames for one scale-factor folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.materialize = materialize
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
     @cached_property
     def interactions(self) -> DataFrame:
-        return build_interactions(self.table("lineitem"), self.table("orders"))
+        df = build_interactions(self.table("lineitem"), self.table("orders"))
+        return materialize(df) if self.materialize else df
 
     @cached_property
     def raw_train(self) -> DataFrame:
@@ -118,7 +134,8 @@ class FixtureViews:
     @cached_property
     def item_prop(self) -> DataFrame:
         s, m = self.entity_src, self.mapping_entities
-        return s.join(m, "prop").select("item_id", "id", "type")
+        df = s.join(m, "prop").select("item_id", "id", "type")
+        return materialize(df) if self.materialize else df
 
     @cached_property
     def texts(self) -> DataFrame:

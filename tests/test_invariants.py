@@ -98,3 +98,11 @@ def test_parquet_scans_are_pruned(spark):
     text = df._jdf.queryExecution().executedPlan().toString()
     # lineitem is read with three of its eleven columns only
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_returnflag:string>" in text
+
+
+def test_materialized_stages_match_lazy_plan(spark):
+    lazy = RecPlan(spark, SF, materialize=False)
+    stored = RecPlan(spark, SF, materialize=True)
+    for name in ("item_features", "split_assignment", "examples", "text_examples"):
+        a, b = getattr(lazy, name), getattr(stored, name)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
