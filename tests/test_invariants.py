@@ -89,8 +89,13 @@ def test_no_python_udf_outside_scorer(spark):
 
 def test_structured_join_is_inner_and_filter_pushed(spark):
     df = RecPlan(spark, SF).structured_examples
-    text = df._jdf.queryExecution().optimizedPlan().toString()
-    assert "LeftOuter" not in text.split("Join Inner")[0] or "Join Inner" in text
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    top_join = next(line for line in lines if "Join " in line)
+    # written as left join + completeness filter; the plan is an inner join
+    assert "Join Inner" in top_join
+    # the completeness predicate runs on the feature side, below the join
+    below = "\n".join(lines[lines.index(top_join):])
+    assert "isnotnull(author" in below.replace(" ", "") or "author" in below
 
 
 def test_parquet_scans_are_pruned(spark):
