@@ -1,6 +1,12 @@
 """Scalar Column builders (all JVM-side, no Python UDF)."""
 
-from shelfwise.functions.prompt import label_word, parse_mapping, render_structured, render_text
+from shelfwise.functions.prompt import (
+    label_word,
+    parse_mapping,
+    render_structured,
+    render_text,
+    render_text_template,
+)
 from shelfwise.functions.text import (
     clean_prediction,
     file_stem,
@@ -13,6 +19,6 @@ from shelfwise.functions.uri import clean_genre, clean_subject, strip_resource
 
 __all__ = [
     "clean_genre", "clean_prediction", "clean_subject", "file_stem", "label_word",
-    "na_to_null", "parse_mapping", "render_structured", "render_text",
+    "na_to_null", "parse_mapping", "render_structured", "render_text", "render_text_template",
     "run_name_from_path", "strip_resource", "strip_ws", "truncate_words",
 ]

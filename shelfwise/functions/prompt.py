@@ -11,6 +11,7 @@ only the exact cold-start phrase is rewritten; other templates keep the literal
 from __future__ import annotations
 
 import ast
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -41,13 +42,57 @@ def render(
     t = template
     for name in placeholders:
         t = F.replace(t, F.lit(f"*{name}*"), _text_of(name))
+    return _genre_step(t, cold_start)
+
+
+def _genre_step(text: Column, cold_start: tuple[str, str]) -> Column:
     genres = _text_of("user_genres")
     phrase, replacement = cold_start
-    return F.when(genres != "", F.replace(t, F.lit("*user_genres*"), genres)).otherwise(
-        F.replace(t, F.lit(phrase), F.lit(replacement))
+    return F.when(genres != "", F.replace(text, F.lit("*user_genres*"), genres)).otherwise(
+        F.replace(text, F.lit(phrase), F.lit(replacement))
     )
 
 
+_TEXT_TOKEN = re.compile(r"\*(user_id|item_id|item_text|user_genres)\*")
+
+
+def _text_pieces(template: str) -> list[tuple[str, str]] | None:
+    """Split a literal text template into ("lit" | "col", text) pieces.
+
+    ``*user_genres*`` stays literal text (the genre step replaces it later).
+    Returns None when a ``*`` outside the placeholder tokens could take part
+    in a match of the sequential replacement; only then would the
+    concatenation not be provably identical to it.
+    """
+    pieces, pos = [], 0
+    for m in _TEXT_TOKEN.finditer(template):
+        if template[pos:m.start()]:
+            pieces.append(("lit", template[pos:m.start()]))
+        name = m.group(1)
+        pieces.append(("keep", m.group(0)) if name == "user_genres" else ("col", name))
+        pos = m.end()
+    if template[pos:]:
+        pieces.append(("lit", template[pos:]))
+    if any(kind == "lit" and "*" in text for kind, text in pieces):
+        return None
+    return pieces
+
+
+def render_text_template(template: str, cold_start=(COLD_START_PHRASE, COLD_START_REPLACEMENT)) -> Column:
+    """F8 for a literal template, as one ``concat`` plus the genre step.
+
+    Same result as the sequential replacement: the ids contain no ``*``, the
+    template has no ``*`` outside its placeholders, and the item text is the
+    last value inserted before the genre step, which still scans the whole
+    string (so a ``*user_genres*`` inside an item text is replaced too).
+    """
+    pieces = _text_pieces(template)
+    if pieces is None:
+        return render(F.lit(template), TEXT_PLACEHOLDERS, cold_start)
+    cols = [_text_of(text) if kind == "col" else F.lit(text) for kind, text in pieces]
+    return _genre_step(F.concat(*cols) if cols else F.lit(""), cold_start)
+
+
 def render_text(template: Column, **kw) -> Column:
     """F8: placeholders user_id, item_id, item_text (+ user_genres)."""
     return render(template, TEXT_PLACEHOLDERS, **kw)

@@ -61,28 +61,34 @@ def item_features(
     # Left join keeps items whose triples all miss the entity table; only
     # triples of used codes need the URI, the rest just carry the item id.
     joined = triples.join(ents, "id", "left")
-    order = _order_key(entity_order, triple_order)
     typ, prop = F.col("type"), F.col("prop")
-    has_prop = prop.isNotNull() & typ.isin(*used)
+    # One cleaned value and one order key per triple, computed before the
+    # aggregation instead of once per aggregate function.
+    value = (
+        F.when(typ == PROP_GENRE, clean_genre(prop))
+        .when(typ == PROP_SUBJECT, clean_subject(prop))
+        .when(typ.isin(PROP_AUTHOR, PROP_SERIES, PROP_PUBLISHER), strip_resource(prop))
+    )
+    order = F.when(prop.isNotNull() & typ.isin(*used), _order_key(entity_order, triple_order))
+    rows = joined.select("item_id", typ.alias("_t"), value.alias("_v"), order.alias("_o"))
+    t, v, o = F.col("_t"), F.col("_v"), F.col("_o")
 
-    def first_of(code: int, value: Column) -> Column:
+    def first_of(code: int) -> Column:
         # min_by skips rows whose ordering is NULL; a NULL *value* in first
         # place stays NULL (the first URI lacked the prefix).
-        return F.min_by(value, F.when(has_prop & (typ == code), order))
+        return F.min_by(v, F.when(t == code, o))
 
-    subject = clean_subject(prop)
     subjects = F.array_sort(
-        F.collect_list(F.when(has_prop & (typ == PROP_SUBJECT) & subject.isNotNull(),
-                              F.struct(order.alias("o"), subject.alias("v"))))
+        F.collect_list(F.when((t == PROP_SUBJECT) & o.isNotNull() & v.isNotNull(), F.struct(o.alias("o"), v.alias("v"))))
     )
     subject_str = F.when(
         F.size(subjects) > 0, F.concat(F.array_join(F.transform(subjects, lambda x: x["v"]), ","), F.lit(","))
     )
-    return joined.groupBy("item_id").agg(
-        first_of(PROP_AUTHOR, strip_resource(prop)).alias("author"),
-        first_of(PROP_GENRE, clean_genre(prop)).alias("genre"),
-        first_of(PROP_SERIES, strip_resource(prop)).alias("series"),
-        first_of(PROP_PUBLISHER, strip_resource(prop)).alias("publisher"),
+    return rows.groupBy("item_id").agg(
+        first_of(PROP_AUTHOR).alias("author"),
+        first_of(PROP_GENRE).alias("genre"),
+        first_of(PROP_SERIES).alias("series"),
+        first_of(PROP_PUBLISHER).alias("publisher"),
         subject_str.alias("subject"),
     )
 

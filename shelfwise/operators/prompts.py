@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.fixed_values import PROMPT_RUNS
-from shelfwise.functions.prompt import label_word, parse_mapping, render_structured, render_text
+from shelfwise.functions.prompt import label_word, parse_mapping, render_structured, render_text_template
 
 MAX_RUNS = 1000
 
@@ -68,22 +68,41 @@ def with_runs(df: DataFrame, runs: Iterable[PromptRun], index_col: str | None =
     return out if index_col is None else out.withColumnRenamed("run_index", index_col)
 
 
-def _renderer(kind: str):
-    if kind == "text":
-        return render_text
-    if kind == "structured":
-        return render_structured
-    raise ValueError(f"unknown prompt kind {kind!r}")
+def _render(run: PromptRun) -> F.Column:
+    if run.kind == "text":
+        return render_text_template(run.template)
+    if run.kind == "structured":
+        return render_structured(F.lit(run.template))
+    raise ValueError(f"unknown prompt kind {run.kind!r}")
+
+
+def _with_prompts(df: DataFrame, runs: list[PromptRun]) -> DataFrame:
+    """J9 + F8/F9: one row per (input row, run) carrying its rendered prompt.
+
+    Each run's template is a literal, so its prompt expression is specialised
+    per run; the array of per-run structs is exploded in the same stage.
+    """
+    if not runs:
+        raise ValueError("no prompt runs given")
+    structs = [
+        F.struct(
+            F.lit(r.run_name).alias("run_name"),
+            F.lit(r.word_neg).cast("string").alias("word_neg"),
+            F.lit(r.word_pos).cast("string").alias("word_pos"),
+            _render(r).alias("prompt"),
+        )
+        for r in runs
+    ]
+    return df.select("*", F.explode(F.array(*structs)).alias("_run")).select("*", "_run.*").drop("_run")
 
 
 def training_prompts(examples: DataFrame, runs: Iterable[PromptRun], kind: str) -> DataFrame:
     """``run_name[, split], user_id, item_id, label, prompt, label_word``."""
     runs = [r for r in runs if r.kind == kind]
     extra = ["split"] if "split" in examples.columns else []
-    fan = with_runs(examples, runs)
+    fan = _with_prompts(examples, runs)
     return fan.select(
-        "run_name", *extra, "user_id", "item_id", "label",
-        _renderer(kind)(F.col("template")).alias("prompt"),
+        "run_name", *extra, "user_id", "item_id", "label", "prompt",
         label_word(F.col("label"), F.col("word_neg"), F.col("word_pos")).alias("label_word"),
     )
 
@@ -91,9 +110,5 @@ def training_prompts(examples: DataFrame, runs: Iterable[PromptRun], kind: str)
 def ranking_prompts(candidates: DataFrame, runs: Iterable[PromptRun], kind: str) -> DataFrame:
     """``run_name, user_id, item_id, prompt, word_pos`` (no label)."""
     runs = [r for r in runs if r.kind == kind]
-    fan = with_runs(candidates, runs)
-    return fan.select(
-        "run_name", "user_id", "item_id",
-        _renderer(kind)(F.col("template")).alias("prompt"),
-        "word_pos",
-    )
+    fan = _with_prompts(candidates, runs)
+    return fan.select("run_name", "user_id", "item_id", "prompt", "word_pos")

@@ -171,3 +171,22 @@ def test_unknown_task_raises():
 
     with pytest.raises(ValueError, match="Task not found"):
         metrics.get_task("nope")
+
+
+def test_concat_rendering_equals_sequential_replacement(spark):
+    from shelfwise.functions.prompt import render_text, render_text_template
+
+    rows = spark.createDataFrame(
+        [(1, 2, "A, B", "has *user_genres* and *item_id*"), (None, 3, "", "x"), (4, 5, "G", "")],
+        "user_id long, item_id long, user_genres string, item_text string",
+    )
+    templates = [r.template for r in prompts.default_runs("text")] + [
+        "User likes the book genres *user_genres* *item_text**user_id*",
+        "*item_*user_id*id* odd",        # stray '*': falls back to nested replace
+        "no placeholders",
+    ]
+    for t in templates:
+        got = rows.select(
+            render_text_template(t).alias("a"), render_text(F.lit(t)).alias("b")
+        ).collect()
+        assert all(r["a"] == r["b"] for r in got), t

@@ -13,7 +13,8 @@ def _hot_group_frame(spark):
     # user 0 holds a third of the rows; scores have ties
     hot = spark.range(0, 3000).select(F.lit(0).cast("long").alias("g"), F.col("id").alias("item"))
     rest = spark.range(0, 6000).select((F.col("id") % 500 + 1).alias("g"), F.col("id").alias("item"))
-    df = hot.unionByName(rest)
+    nulls = spark.range(0, 40).select(F.lit(None).cast("long").alias("g"), (F.col("id") + 10**6).alias("item"))
+    df = hot.unionByName(rest).unionByName(nulls)
     return df.withColumn("score", ((F.col("item") * 7919) % 101).cast("double"))
 
 
