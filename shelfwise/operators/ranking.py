@@ -4,15 +4,18 @@
 one task; one user holding a third of the log would then be sorted by a single
 core. Instead:
 
-1. range-partition on the composite key ``(g, o)`` with an explicit partition
-   count: a hot group spreads over many partitions, and AQE never coalesces an
-   explicitly numbered repartition, so partition ids are stable between the
-   two consumers of that shuffle (Spark reuses the exchange);
-2. inside each partition, after ``sortWithinPartitions``, the local position
-   comes from ``monotonically_increasing_id`` (partition id in the high bits);
-3. the per-partition row counts (at most one row per partition, a proven bound)
-   are broadcast and turned into a global offset, so ``pos`` is the row's
-   position in the global ``(g, o)`` order;
+1. range-partition on the composite key ``(g, o)`` (a hot group spreads over
+   many partitions) and sort inside each partition;
+2. store these sorted partitions once with a reliable ``checkpoint()`` in the
+   shared ``spark.checkpoint.dir``. Every later consumer reads exactly these
+   partitions in this order. (Two consumers of one range exchange need not
+   share it: column pruning gives them different plans, Spark then samples the
+   range bounds twice and the partitions disagree. Reading a checkpoint rules
+   that out, also for nondeterministic inputs, and cuts the lineage);
+3. the local position comes from ``monotonically_increasing_id`` (partition
+   index in the high bits, row position below); per-partition row counts (at
+   most one row per partition, a proven bound) are broadcast and turned into a
+   global offset, so ``pos`` is the row's position in the global order;
 4. the first position and the size of each group come from a plain
    aggregation (map-side partial aggregation absorbs hot keys), joined back on
    ``g``. That join is a normal shuffle join: AQE broadcasts the group table
@@ -55,20 +58,15 @@ def global_positions(
     ``total_col`` (optional) receives the total row count, taken from the
     bounded per-partition count table rather than a global window.
     """
+    from shelfwise.session import checkpoint_dir
+
     keys = [_as_col(c) for c in order_cols]
     n = _partition_count(df, num_partitions)
-    parted = df.repartitionByRange(n, *keys)
-    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        # Both consumers below must see one and the same range partitioning.
-        # Spark guarantees that by reusing the exchange; without reuse, store
-        # the partitioned rows once in the shared checkpoint folder.
-        from shelfwise.session import materialize
-
-        parted = materialize(parted)
+    checkpoint_dir(df.sparkSession)
+    stored = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
 
-    # Row count per partition; reads the same (reused) range exchange.
     counts = (
-        parted.groupBy(F.spark_partition_id().alias("_sw_pid"))
+        stored.groupBy(F.spark_partition_id().alias("_sw_pid"))
         .agg(F.count(F.lit(1)).alias("_sw_n"))
         .coalesce(1)
     )
@@ -80,10 +78,8 @@ def global_positions(
         F.sum("_sw_n").over(Window.partitionBy()).alias("_sw_total"),
     )
 
-    located = (
-        parted.sortWithinPartitions(*keys)
-        .withColumn("_sw_mid", F.monotonically_increasing_id())
-        .withColumn("_sw_pid", F.shiftright(F.col("_sw_mid"), _LOCAL_BITS).cast("int"))
+    located = stored.withColumn("_sw_mid", F.monotonically_increasing_id()).withColumn(
+        "_sw_pid", F.shiftright(F.col("_sw_mid"), _LOCAL_BITS).cast("int")
     )
     extra = [F.col("_sw_total").alias(total_col)] if total_col else []
     return located.join(F.broadcast(offsets), "_sw_pid").select(

@@ -119,17 +119,29 @@ def read_entities(spark: SparkSession, path: str, skip_rows: int = 2) -> DataFra
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    """``run_name, user_id, item_id, rank``; rank = line order per file.
+    """``run_name, user_id, item_id, rank`` from ``user<TAB>item`` files.
 
-    ``run_name`` is the file stem, so one folder can hold every run.
+    ``rank`` is the position of the line among the same user's lines of the
+    same run, in file order (files of a run in name order). The run name is
+    the ``run_name=<run>`` folder a file sits in, else the file stem, so one
+    folder can hold every run.
     """
+    raw = spark.read.text(path).select(
+        F.col("value").alias("line"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("_blk"),
+        F.monotonically_increasing_id().alias("_mid"),
+    )
     parts = F.split(F.col("line"), "\t")
-    return read_lines(spark, path).where(F.col("line") != "").select(
-        file_stem(F.col("file")).alias("run_name"),
+    folder_run = F.nullif(F.regexp_extract(F.col("file"), r"/run_name=([^/]+)/[^/]*$", 1), F.lit(""))
+    rows = raw.where(F.col("line") != "").select(
+        F.coalesce(folder_run, file_stem(F.col("file"))).alias("run_name"),
         parts[0].try_cast("long").alias("user_id"),
         parts[1].try_cast("long").alias("item_id"),
-        F.col("seq").cast("long").alias("rank"),
+        "file", "_blk", "_mid",
     )
+    ranked = rank_within_groups(rows, ["run_name", "user_id"], ["file", "_blk", "_mid"], rank_col="rank")
+    return ranked.select("run_name", "user_id", "item_id", "rank")
 
 
 def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

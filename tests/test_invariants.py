@@ -112,3 +112,16 @@ def test_materialized_stages_match_lazy_plan(spark):
     for name in ("item_features", "split_assignment", "examples", "text_examples"):
         a, b = getattr(lazy, name), getattr(stored, name)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+def test_rank_with_payload_columns_and_string_key(spark):
+    # Columns that are not sort keys used to let the two consumers of the
+    # range exchange prune differently (and sample different bounds).
+    df = _hot_group_frame(spark).select(
+        F.concat_ws("|", F.lit("run"), F.col("g").cast("string")).alias("key"),
+        "item", "score", (F.col("item") * 3).alias("payload"), F.lit("x").alias("note"),
+    )
+    order = [F.col("score").desc(), F.col("item")]
+    a = rank_within_groups(df, ["key"], order, "rank", size_col="n", num_partitions=9)
+    b = rank_within_groups_window(df, ["key"], order, "rank", size_col="n")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

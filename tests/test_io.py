@@ -57,7 +57,7 @@ def test_predictions_rank_is_line_order(spark):
         with open(os.path.join(d, f"{run}.txt"), "w") as f:
             f.write("\n".join(lines) + "\n")
     got = {(r["run_name"], r["user_id"], r["item_id"]): r["rank"] for r in tsv.read_predictions(spark, d).collect()}
-    assert got == {("run-a", 1, 9): 1, ("run-a", 1, 4): 2, ("run-a", 2, 5): 3, ("run-b", 3, 1): 1}
+    assert got == {("run-a", 1, 9): 1, ("run-a", 1, 4): 2, ("run-a", 2, 5): 1, ("run-b", 3, 1): 1}
 
 
 def test_ranked_predictions_written_per_run(spark):
