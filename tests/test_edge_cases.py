@@ -1,7 +1,6 @@
 """Hand-made micro tables for the semantics that are easy to get wrong."""
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfwise.fixed_values import RESOURCE_PREFIX as R
 from shelfwise.functions.text import clean_prediction, truncate_words

@@ -3,9 +3,7 @@
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
-from shelfwise import schemas
 from shelfwise.operators import prompts, scoring
 from shelfwise.plans import stages
 from shelfwise.plans.recplan import RecPlan
