@@ -40,12 +40,6 @@ def _as_col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _partition_count(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def global_positions(
     df: DataFrame,
     order_cols: Sequence[str | Column],
@@ -61,9 +55,11 @@ def global_positions(
     from shelfwise.session import checkpoint_dir
 
     keys = [_as_col(c) for c in order_cols]
-    n = _partition_count(df, num_partitions)
     checkpoint_dir(df.sparkSession)
-    stored = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    # The checkpoint job is the only consumer of this exchange, so AQE may
+    # coalesce adjacent range partitions (order is kept) unless a count is given.
+    parted = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    stored = parted.sortWithinPartitions(*keys).checkpoint(eager=True)
 
     counts = (
         stored.groupBy(F.spark_partition_id().alias("_sw_pid"))
