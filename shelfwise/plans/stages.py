@@ -12,8 +12,8 @@
 
 Each "file" is a Spark output folder (part files), the scalable form of one
 TSV. Every stage reads its inputs with explicit schemas and writes whole
-outputs; nothing passes through the driver. ``python -m shelfwise.plans.stages
-<data_dir>`` runs the four preparation stages.
+outputs; nothing passes through the driver. Command line:
+``python -m shelfwise.plans.stages {prepare,rank,export,filter} ...``.
 """
 
 from __future__ import annotations
@@ -146,7 +146,54 @@ def prepare(spark: SparkSession, data_dir: str, dataset: str = "dbbook") -> None
     truncate_texts(spark, data_dir, dataset)
 
 
-if __name__ == "__main__":
+def _load_scorer(spec: str | None) -> scoring.Scorer:
+    """``module:callable`` returning a scorer (called once); default: stub."""
+    if not spec:
+        return scoring.StubScorer()
+    import importlib
+
+    module, _, attr = spec.partition(":")
+    factory = getattr(importlib.import_module(module), attr)
+    return factory()
+
+
+def main(argv: list[str]) -> None:
+    import argparse
+
     from shelfwise.session import build_session
+    from shelfwise.sources.params import read_prompt_runs
+
+    parser = argparse.ArgumentParser(prog="python -m shelfwise.plans.stages")
+    sub = parser.add_subparsers(dest="cmd", required=True)
+    p = sub.add_parser("prepare", help="item features, split, profiles/examples, truncated texts")
+    p.add_argument("data_dir")
+    p.add_argument("--dataset", default="dbbook")
+    p = sub.add_parser("rank", help="score and rank the test candidates for every run")
+    p.add_argument("data_dir")
+    p.add_argument("params_dir", help="folder of run parameter JSON files")
+    p.add_argument("results_dir")
+    p.add_argument("--scorer", help="module:callable returning the scorer (default: deterministic stub)")
+    p.add_argument("--dataset", default="dbbook")
+    p = sub.add_parser("export", help="ground truth for text and structured runs")
+    p.add_argument("data_dir")
+    p.add_argument("--dataset", default="dbbook")
+    p = sub.add_parser("filter", help="keep predictions of users with ground truth")
+    p.add_argument("results_dir")
+    p.add_argument("truth_path")
+    p.add_argument("out_dir")
+    args = parser.parse_args(argv)
+
+    spark = build_session()
+    if args.cmd == "prepare":
+        prepare(spark, args.data_dir, args.dataset)
+    elif args.cmd == "rank":
+        runs = read_prompt_runs(spark, args.params_dir)
+        rank_candidates(spark, args.data_dir, runs, _load_scorer(args.scorer), args.results_dir, args.dataset)
+    elif args.cmd == "export":
+        export_ground_truth(spark, args.data_dir, args.dataset)
+    else:
+        filter_predictions(spark, args.results_dir, args.truth_path, args.out_dir)
 
-    prepare(build_session(), sys.argv[1], *(sys.argv[2:3] or []))
+
+if __name__ == "__main__":
+    main(sys.argv[1:])

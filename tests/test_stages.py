@@ -1,10 +1,10 @@
 """File-based stages on the original layout agree with the in-memory plan."""
 
+import json
 import os
 import tempfile
 
-
-from shelfwise.operators import prompts, scoring
+from shelfwise.fixed_values import PROMPT_RUNS
 from shelfwise.plans import stages
 from shelfwise.plans.recplan import RecPlan
 from shelfwise.sources import text_files, tsv
@@ -50,9 +50,13 @@ def test_stages_match_plan(spark):
     texts = text_files.read_texts(spark, os.path.join(root, "processed", "dbbook", "texts"))
     assert _same(texts.where("item_text != ''"), plan.truncated_texts.where("item_text != ''"))
 
-    runs = prompts.default_runs()
+    params_dir = os.path.join(root, "params")
+    os.makedirs(params_dir)
+    for run_name, _kind, template, mapping in PROMPT_RUNS:
+        with open(os.path.join(params_dir, f"{run_name}.json"), "w") as f:
+            json.dump({"run_name": run_name, "template": template, "mapping": mapping, "seed": 42}, f)
     results = os.path.join(root, "results")
-    stages.rank_candidates(spark, root, runs, scoring.StubScorer(), results)
+    stages.main(["rank", root, params_dir, results, "--scorer", "shelfwise.operators.scoring:StubScorer"])
     back = tsv.read_predictions(spark, os.path.join(results, "run_name=*"))
     expected = plan.scored_ranking.unionByName(plan.scored_ranking_structured).drop("score")
     assert _same(back, expected)
