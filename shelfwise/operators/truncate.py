@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.fixed_values import MAX_TEXT_TOKENS
 from shelfwise.functions.text import truncate_words
@@ -87,3 +88,34 @@ def truncate_texts_tokenizer(
             yield pd.DataFrame(out)
 
     return texts.select("item_id", "item_text").mapInPandas(apply, schema)
+
+
+def tokenize_prompts(
+    prompts: DataFrame,
+    tokenizer_factory: Callable[[], object] = ByteTokenizer,
+    eos_id: int | None = 1,
+) -> DataFrame:
+    """Prompt features for a trainer: ``input_ids`` (and ``labels`` when the
+    table has ``label_word``) as ``array<int>``, the tokenizer's ids plus an
+    optional end-of-sequence id, as the original's text-to-text datasets built
+    them. All other columns pass through unchanged.
+    """
+    has_label = "label_word" in prompts.columns
+    ids = T.ArrayType(T.IntegerType())
+    extra = [T.StructField("input_ids", ids)] + ([T.StructField("labels", ids)] if has_label else [])
+    out_schema = T.StructType(list(prompts.schema.fields) + extra)
+    tail = [] if eos_id is None else [eos_id]
+
+    def encode(tok, text):
+        return None if text is None else list(tok.encode(text)) + tail
+
+    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tok = tokenizer_factory()
+        for batch in batches:
+            batch = batch.copy()
+            batch["input_ids"] = [encode(tok, t) for t in batch["prompt"]]
+            if has_label:
+                batch["labels"] = [encode(tok, t) for t in batch["label_word"]]
+            yield batch
+
+    return prompts.mapInPandas(apply, out_schema)

@@ -134,3 +134,18 @@ def test_sentencepiece_tokenizer_truncation(spark):
     for r in rows[:20]:
         assert len(r["input_ids"]) <= 16
         assert r["item_text"] == sp.decode(r["input_ids"])
+
+
+def test_tokenized_prompt_features(spark):
+    from shelfwise.operators.truncate import ByteTokenizer, tokenize_prompts
+
+    df = spark.createDataFrame(
+        [("r", 1, 2, "é ok", "Yes"), ("r", 3, 4, "", None)],
+        "run_name string, user_id long, item_id long, prompt string, label_word string",
+    )
+    rows = {r["user_id"]: r for r in tokenize_prompts(df).collect()}
+    tok = ByteTokenizer()
+    assert rows[1]["input_ids"] == tok.encode("é ok") + [1]
+    assert rows[1]["labels"] == tok.encode("Yes") + [1]
+    assert tok.decode(rows[1]["input_ids"][:-1]) == "é ok"
+    assert rows[3]["input_ids"] == [1] and rows[3]["labels"] is None
