@@ -55,6 +55,20 @@ class RecPlan:
     def _stage(self, df: DataFrame) -> DataFrame:
         return materialize(df) if self.materialize else df
 
+    def _prepare(self, *names: str) -> None:
+        """Build independent stages concurrently.
+
+        Building a stage can run Spark jobs (the stored range partitions of a
+        ranking). Independent stages are built from separate driver threads,
+        so their jobs run at the same time on the cluster.
+        """
+        pending = [n for n in names if n not in self.__dict__]
+        if len(pending) > 1:
+            from concurrent.futures import ThreadPoolExecutor
+
+            with ThreadPoolExecutor(len(pending)) as pool:
+                list(pool.map(lambda n: getattr(self, n), pending))
+
     # -- C1 -----------------------------------------------------------------
     @cached_property
     def item_features(self) -> DataFrame:
@@ -80,11 +94,13 @@ class RecPlan:
     # -- C3 -----------------------------------------------------------------
     @cached_property
     def user_profiles(self) -> DataFrame:
+        self._prepare("split_assignment", "item_features")
         train_rows = self.split_assignment.where(F.col("split") == "train")
         return profiles.user_profiles(train_rows, self.item_features)
 
     @cached_property
     def examples(self) -> DataFrame:
+        self._prepare("split_assignment", "item_features")
         rows = profiles.tag_splits(self.split_assignment, self.views.raw_test)
         return self._stage(profiles.build_examples(rows, self.user_profiles, self.item_features))
 
