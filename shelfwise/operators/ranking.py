@@ -18,8 +18,8 @@ core. Instead:
    global offset, so ``pos`` is the row's position in the global order;
 4. the first position and the size of each group come from a plain
    aggregation (map-side partial aggregation absorbs hot keys), joined back on
-   ``g``. That join is a normal shuffle join: AQE broadcasts the group table
-   when it is small and splits a skewed group's partition otherwise.
+   ``g`` with a shuffled hash join that builds on the group table (AQE splits
+   a skewed group's partition).
 
 ``rank = pos - group_start + 1``. Without group columns the result is a global
 row number and step 4 is skipped.
@@ -114,7 +114,12 @@ def rank_within_groups(
         *[c for c in starts.columns if c not in group_cols],
     )
     cond = [pos[c].eqNullSafe(renamed[f"_sw_g{i}"]) for i, c in enumerate(group_cols)]
-    joined = pos.join(renamed, cond, "inner")
+    # Shuffled hash join, building on the (smaller) group table. Without the
+    # hint AQE may broadcast the positioned rows when they are small and
+    # stream the group table, which it has coalesced to very few partitions:
+    # every ranked row then flows through one task. AQE still splits skewed
+    # partitions of a shuffled hash join.
+    joined = pos.join(renamed.hint("shuffle_hash"), cond, "inner")
     keep = [*df.columns, (F.col("_sw_pos") - F.col("_sw_start") + F.lit(1)).alias(rank_col)]
     if size_col:
         keep.append(F.col(size_col))
