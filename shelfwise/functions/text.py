@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from shelfwise.fixed_values import EOS_MARKER, NA_TOKENS, PAD_MARKER
 
 
+# Whitespace between word tokens: the characters Java's and RE2's ``\s`` both
+# match (vertical tab excluded), so the result does not depend on the engine.
+WHITESPACE = "[\t\n\f\r ]"
+
+
 def truncate_words(col: Column, max_tokens: int) -> Column:
     """F7 word mode: first ``max_tokens`` whitespace tokens joined by one blank.
 
@@ -19,8 +24,9 @@ def truncate_words(col: Column, max_tokens: int) -> Column:
     """
     if max_tokens < 1:
         raise ValueError("max_tokens must be >= 1")
-    head = F.regexp_extract(F.trim(col), r"^(\S*(?:\s+\S*){0,%d})" % (max_tokens - 1), 1)
-    return F.regexp_replace(head, r"\s+", " ")
+    ws, non_ws = WHITESPACE, f"[^{WHITESPACE[1:-1]}]"
+    head = F.regexp_extract(F.trim(col), r"^(%s*(?:%s+%s*){0,%d})" % (non_ws, ws, non_ws, max_tokens - 1), 1)
+    return F.regexp_replace(head, ws + "+", " ")
 
 
 def file_stem(path: Column) -> Column:
