@@ -13,9 +13,10 @@ core. Instead:
    range bounds twice and the partitions disagree. Reading a checkpoint rules
    that out, also for nondeterministic inputs, and cuts the lineage);
 3. the local position comes from ``monotonically_increasing_id`` (partition
-   index in the high bits, row position below); per-partition row counts (at
-   most one row per partition, a proven bound) are broadcast and turned into a
-   global offset, so ``pos`` is the row's position in the global order;
+   index in the high bits, row position below); the per-partition row counts
+   of the stored partitions (one number per partition, a proven bound) are
+   read once and become a literal offset array, so ``pos`` is the row's
+   position in the global order;
 4. the first position and the size of each group come from a plain
    aggregation (map-side partial aggregation absorbs hot keys), joined back on
    ``g`` with a shuffled hash join that builds on the group table (AQE splits
@@ -61,26 +62,25 @@ def global_positions(
     parted = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
     stored = parted.sortWithinPartitions(*keys).checkpoint(eager=True)
 
-    counts = (
-        stored.groupBy(F.spark_partition_id().alias("_sw_pid"))
-        .agg(F.count(F.lit(1)).alias("_sw_n"))
-        .coalesce(1)
+    # One count per stored partition (a bounded collect: one number per
+    # partition), turned into literal offsets. The stored partitions never
+    # change, so later query executions need no count, window or broadcast.
+    counts = dict(
+        stored.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
     )
-    # At most `n` rows in one task: the running sum is bounded and cheap, and
-    # coalesce(1) on this tiny table saves a second exchange.
-    offsets = counts.select(
-        "_sw_pid",
-        (F.sum("_sw_n").over(Window.orderBy("_sw_pid")) - F.col("_sw_n")).alias("_sw_off"),
-        F.sum("_sw_n").over(Window.partitionBy()).alias("_sw_total"),
-    )
-
-    located = stored.withColumn("_sw_mid", F.monotonically_increasing_id()).withColumn(
-        "_sw_pid", F.shiftright(F.col("_sw_mid"), _LOCAL_BITS).cast("int")
-    )
-    extra = [F.col("_sw_total").alias(total_col)] if total_col else []
-    return located.join(F.broadcast(offsets), "_sw_pid").select(
+    size = max(counts, default=-1) + 1
+    offsets, running = [], 0
+    for p in range(size):
+        offsets.append(running)
+        running += counts.get(p, 0)
+
+    mid = F.col("_sw_mid")
+    pid = F.shiftright(mid, _LOCAL_BITS).cast("int")
+    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), pid + 1) if offsets else F.lit(0)
+    extra = [F.lit(running).cast("long").alias(total_col)] if total_col else []
+    return stored.withColumn("_sw_mid", F.monotonically_increasing_id()).select(
         *[c for c in df.columns],
-        (F.col("_sw_off") + F.col("_sw_mid").bitwiseAND(F.lit(_LOCAL_MASK))).alias(pos_col),
+        (offset + mid.bitwiseAND(F.lit(_LOCAL_MASK))).alias(pos_col),
         *extra,
     )
 
