@@ -125,3 +125,9 @@ def test_rank_with_payload_columns_and_string_key(spark):
     a = rank_within_groups(df, ["key"], order, "rank", size_col="n", num_partitions=9)
     b = rank_within_groups_window(df, ["key"], order, "rank", size_col="n")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_rank_on_empty_input(spark):
+    df = spark.createDataFrame([], "g long, k long")
+    assert rank_within_groups(df, ["g"], ["k"], "rank", size_col="n").count() == 0
+    assert rank_within_groups(df, [], ["k"], "rank", size_col="n").count() == 0
