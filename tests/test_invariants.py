@@ -131,3 +131,14 @@ def test_rank_on_empty_input(spark):
     df = spark.createDataFrame([], "g long, k long")
     assert rank_within_groups(df, ["g"], ["k"], "rank", size_col="n").count() == 0
     assert rank_within_groups(df, [], ["k"], "rank", size_col="n").count() == 0
+
+
+def test_split_with_hot_user_equals_window_split(spark):
+    hot = spark.range(0, 3000).select(F.lit(7).cast("long").alias("user_id"), F.col("id").alias("item_id"))
+    rest = spark.range(0, 6000).select((F.col("id") % 300 + 100).alias("user_id"), F.col("id").alias("item_id"))
+    df = hot.unionByName(rest).withColumn("label", (F.col("item_id") % 3 != 0).cast("int"))
+    a = split.assign_split(df, 0.2, 42, skew_safe=True)
+    b = split.assign_split(df, 0.2, 42, skew_safe=False)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    hot_dev = a.where("user_id = 7 AND split = 'dev'").count()
+    assert hot_dev == 600
