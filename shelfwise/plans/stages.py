@@ -7,7 +7,7 @@
     interim -> build_user_profiles -> processed/<ds>/{train,dev,test}.tsv
     raw/<ds>/texts/<item>.text -> truncate_texts -> processed/<ds>/texts (parquet)
     processed + texts + runs -> rank_candidates -> results/run_name=<run>/
-    raw test/train (+ texts or item features) -> export_ground_truth -> elliot/<ds>[_structured]/
+    raw test/train (+ texts or item features) -> export_ground_truth -> eval/<ds>[_structured]/
     results + ground truth -> filter_predictions -> results-evaluable/run_name=<run>/
 
 Each "file" is a Spark output folder (part files), the scalable form of one
@@ -110,8 +110,14 @@ def rank_candidates(
     return out
 
 
-def export_ground_truth(spark: SparkSession, data_dir: str, dataset: str = "dbbook") -> None:
-    """Test positives with raw text / with complete features, train positives."""
+def export_ground_truth(
+    spark: SparkSession, data_dir: str, dataset: str = "dbbook", out_folder: str = "eval"
+) -> None:
+    """Test positives with raw text / with complete features, train positives.
+
+    Written to ``<data_dir>/<out_folder>/<dataset>[_structured]/`` for the
+    ranking-evaluation tool; pass the folder name your tool expects.
+    """
     raw_test = tsv.read_interactions(spark, _p(data_dir, "raw", dataset, "test.tsv"))
     raw_train = tsv.read_interactions(spark, _p(data_dir, "raw", dataset, "train.tsv"))
     texts = text_files.read_text_folder(spark, _p(data_dir, "raw", dataset, "texts"))
@@ -119,8 +125,8 @@ def export_ground_truth(spark: SparkSession, data_dir: str, dataset: str = "dbbo
     train_pos = export.positives(raw_train)
     for suffix, truth in (("", export.ground_truth_text(raw_test, texts)),
                           ("_structured", export.ground_truth_structured(raw_test, feats))):
-        tsv.write_tsv(truth, _p(data_dir, "elliot", f"{dataset}{suffix}", "test.tsv"))
-        tsv.write_tsv(train_pos, _p(data_dir, "elliot", f"{dataset}{suffix}", "train.tsv"))
+        tsv.write_tsv(truth, _p(data_dir, out_folder, f"{dataset}{suffix}", "test.tsv"))
+        tsv.write_tsv(train_pos, _p(data_dir, out_folder, f"{dataset}{suffix}", "train.tsv"))
 
 
 def filter_predictions(
@@ -177,6 +183,7 @@ def main(argv: list[str]) -> None:
     p = sub.add_parser("export", help="ground truth for text and structured runs")
     p.add_argument("data_dir")
     p.add_argument("--dataset", default="dbbook")
+    p.add_argument("--out-folder", default="eval")
     p = sub.add_parser("filter", help="keep predictions of users with ground truth")
     p.add_argument("results_dir")
     p.add_argument("truth_path")
@@ -190,7 +197,7 @@ def main(argv: list[str]) -> None:
         runs = read_prompt_runs(spark, args.params_dir)
         rank_candidates(spark, args.data_dir, runs, _load_scorer(args.scorer), args.results_dir, args.dataset)
     elif args.cmd == "export":
-        export_ground_truth(spark, args.data_dir, args.dataset)
+        export_ground_truth(spark, args.data_dir, args.dataset, args.out_folder)
     else:
         filter_predictions(spark, args.results_dir, args.truth_path, args.out_dir)
 

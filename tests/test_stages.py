@@ -62,7 +62,7 @@ def test_stages_match_plan(spark):
     assert _same(back, expected)
 
     stages.export_ground_truth(spark, root)
-    truth_path = os.path.join(root, "elliot", "dbbook", "test.tsv")
+    truth_path = os.path.join(root, "eval", "dbbook", "test.tsv")
     truth = tsv.read_ground_truth(spark, truth_path)
     assert _same(truth, plan.ground_truth_text)
 
