@@ -77,17 +77,23 @@ def original_id(ord_col: str = "ord") -> Column:
     return F.when(F.col(ord_col) != NULL_ORD, F.col(ord_col)).cast("long")
 
 
-def keep_rows(docs: DataFrame, kept: DataFrame, *, once: bool = False,
-              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` whose key is in ``kept (ord, h)``, columns unchanged.
+def apply_decisions(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that ``decisions (ord, h, keep)`` drops, columns unchanged.
 
-    ``once`` keeps a single row of those that repeat a key.
+    ``decisions`` has a row per document row. Of rows that repeat one another as
+    many stay as are marked to be kept: all of them, or one. Only the keys that
+    lose rows are joined, so a table that loses little moves little.
     """
     o, h = free_name(docs, "_ord"), free_name(docs, "_h")
     marked = docs.withColumns({o: ordinal(docs[id_col]), h: text_hash(docs[text_col])})
-    keys = kept.select(F.col("ord").alias(o), F.col("h").alias(h)).distinct()
-    out = marked.join(keys, [o, h], "left_semi")
-    return (out.dropDuplicates([o, h]) if once else out).select(*[f"`{c}`" for c in docs.columns])
+    columns = [f"`{c}`" for c in docs.columns]
+    keys = stored(decisions.groupBy(F.col("ord").alias(o), F.col("h").alias(h))
+                  .agg(F.count("*").alias("n"), F.sum(F.col("keep").cast("int")).alias("kept")).where("kept < n"), "keys")
+    out = marked.join(keys.select(o, h), [o, h], "left_anti").select(*columns)
+    repeated = keys.where("kept > 0").select(o, h)
+    if repeated.isEmpty():
+        return out
+    return out.unionByName(marked.join(repeated, [o, h], "left_semi").dropDuplicates([o, h]).select(*columns))
 
 
 def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
