@@ -110,10 +110,10 @@ WITH p AS (
   SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
 q AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS first FROM p)
 SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
-       array_to_string(list_transform(range(0, 32), j -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
          (((instr('0123456789abcdef', substr(hex, (5 * j) // 4 + 1, 1)) - 1) * 16
            + greatest(instr('0123456789abcdef', substr(hex || '0', (5 * j) // 4 + 2, 1)) - 1, 0))
-          >> (3 - (5 * j) % 4) & 31) + 1, 1)), '') AS payload_digest,
+          >> (3 - (5 * j) % 4) & 31) + 1, 1) for j in range(0, 32)], '') AS payload_digest,
        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM q
