@@ -179,10 +179,13 @@ def read_bundles(spark: SparkSession, folder: str, index: DataFrame) -> DataFram
                         ["ord", "record_type", "refers_ord", "payload_bytes", "payload_digest", "payload"])
 
     names = index.select("bundle").distinct()
+    count = names.count()
+    if not count:  # no file was written
+        return spark.createDataFrame([], RECORD)
     files = (spark.read.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
              .option("pathGlobFilter", "*.warc.zst").load(folder)
              .select("content", F.substring_index("path", "/", -1).alias("bundle")))
-    return files.join(F.broadcast(names) if names.count() <= 10_000 else names, "bundle", "left_semi").select("content").mapInArrow(run, RECORD)
+    return files.join(F.broadcast(names) if count <= 10_000 else names, "bundle", "left_semi").select("content").mapInArrow(run, RECORD)
 
 
 def read_record(folder: str, bundle: str, frame: int, place: int, size: int) -> tuple[dict[str, str], bytes]:
