@@ -40,6 +40,8 @@ from shelfwise.llm.hashing import Rolling, mix, window_owners
 FLUSH_ROWS = 400_000
 #: Contexts of one anchor in one task from which on the anchor is hot.
 HOT_CONTEXTS = 32
+#: A partition works route by route, so it holds so small a part of its rows at once. A task sends a row per route.
+ROUTES_PER_PARTITION = 2
 ROUTED = "route int, kind int, ord long, h long, data binary"
 SETTLED, BY_ANCHOR, BY_CONTEXT, OPEN = range(4)
 
@@ -325,10 +327,10 @@ def packed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def repeated_windows(docs: DataFrame, rule: Rule, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``ord, h, ranges``: per document with repeats the packed ranges of windows that also start earlier."""
     count = partitions(docs.sparkSession)
-    routes = 8 * count
+    routes = ROUTES_PER_PARTITION * count
 
     def dealt(df):
-        return df.repartition(count, "route").sortWithinPartitions("route")
+        return df.repartitionById(count, F.col("route") % count).sortWithinPartitions("route")
 
     found = keyed(docs, id_col, text_col).mapInArrow(_find(rule, routes), ROUTED)
     met = stored(dealt(found).mapInArrow(_meet(rule, routes), ROUTED), "met")
