@@ -12,8 +12,8 @@ from shelfwise.llm.common import clean_text
 from shelfwise.llm.hashing import mix
 
 #: At most so many rows of each label, of at most so many characters each, are fetched for fitting.
-ROWS_PER_LABEL = 2500
-MAX_CHARS = 8_000
+ROWS_PER_LABEL = 1500
+MAX_CHARS = 6_000
 
 
 def held_out(doc_id: Column, parts: int, part: int) -> Column:
@@ -22,8 +22,9 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, parts: int, part: int,
-           rows_per_label: int = ROWS_PER_LABEL, max_chars: int = MAX_CHARS) -> tuple[list[bytes], np.ndarray]:
-    """Texts and 0/1 labels of rows that aren't held out: the first of each label by hash of the id.
+           rows_per_label: int = ROWS_PER_LABEL, max_chars: int = MAX_CHARS) -> tuple[list[bytes], np.ndarray, float]:
+    """Texts and 0/1 labels of rows that aren't held out: the first of each label by hash of the id;
+    and the log odds of label 1 among all such rows.
 
     Near copies say nothing new, so one of them stays.
     """
@@ -42,7 +43,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, parts: int, part: int
                 texts.append(text.encode())
                 ys.append(y)
             seen.update(marks)
-    return texts, np.array(ys, np.int64)
+    count = {r[0]: r[1] for r in known.groupBy("y").count().collect()}
+    return texts, np.array(ys, np.int64), float(np.log((count.get(1, 0) + 0.5) / (count.get(0, 0) + 0.5)))
 
 
 def _marks(text: bytes, bands: int = 4, band: int = 3) -> list[tuple]:

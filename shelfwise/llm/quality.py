@@ -1,10 +1,11 @@
 """Quality classifier: naive-Bayes features in a linear support vector machine.
 
-Features are n-gram indicators: byte 3-grams, words and word couples, hashed.
+Features are n-gram indicators: byte 3-grams, words and word couples, hashed, and
+words that follow themselves.
 Each indicator is scaled by the log ratio of its class counts and rows are
 scaled to unit length; a linear hinge-loss model is fitted by dual coordinate
 descent, then a logistic curve maps its margin to a probability. Fitting takes
-a bounded sample (``labelled.ROWS_PER_LABEL``, ``labelled.MAX_CHARS``) to the
+a bounded sample (``ROWS_PER_LABEL``, ``labelled.MAX_CHARS``) to the
 driver; scoring reads every whole text in its scan task, without a shuffle.
 
 Defined results: NULL and empty texts have no features and get the curve's value
@@ -28,6 +29,8 @@ from shelfwise.llm.labelled import held_out, logistic, sample
 
 BITS = 18
 SIZE = 1 << BITS
+#: Rows of each label that the query fits on.
+ROWS_PER_LABEL = 3000
 
 
 def features(data: np.ndarray, bounds: np.ndarray):
@@ -49,11 +52,14 @@ def features(data: np.ndarray, bounds: np.ndarray):
     half = np.uint64(64 - BITS + 1)
     word = (word >> half).astype(np.uint32) + np.uint32(SIZE // 2)
     couple = ((couple * np.uint64(0xD6E8FEB86659FD93)) >> half).astype(np.uint32) + np.uint32(SIZE // 2)
+    # any word said twice in a row, and any said three times, are couples and triples of their own
+    twice = word[:-1] == word[1:]
+    couple = np.concatenate([couple, np.where(twice, SIZE // 2 + 1, couple), np.where(twice & np.concatenate([twice[1:], [False]]), SIZE // 2 + 2, couple)]).reshape(3, -1)
     first = np.searchsorted(start, bounds)
     place = np.zeros(SIZE, np.int32)
     for i in range(len(bounds) - 1):
         a, b, u, v = bounds[i], bounds[i + 1], first[i], first[i + 1]
-        own = np.concatenate([codes[a:max(a, b - 2)], word[u:v], couple[u:max(u, v - 1)]])
+        own = np.concatenate([codes[a:max(a, b - 2)], word[u:v], *couple[:, u:max(u, v - 1)]])
         at = np.arange(len(own), dtype=np.int32)
         place[own] = at
         yield own[place[own] == at]
@@ -78,12 +84,12 @@ def _buffer(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(t + b" " for t in texts), np.uint8), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
 
 
-def fit(texts: list[bytes], y: np.ndarray, cost: float = 1.0, rounds: int = 12, alpha: float = 1.0) -> Model:
-    """Log-count ratios and dual coordinate descent on four fifths, the probability curve on the rest."""
+def fit(texts: list[bytes], y: np.ndarray, odds: float = 0.0, cost: float = 1.0, rounds: int = 12, alpha: float = 1.0) -> Model:
+    """Log-count ratios and dual coordinate descent on four fifths, the probability curve on the rest, moved to the log ``odds`` of label 1."""
     if len(set(y.tolist())) < 2:
         share = min(max(float(y.mean()) if len(y) else 0.5, 0.01), 0.99)
         return Model(np.zeros(SIZE, np.float32), 0.0, float(np.log(share / (1 - share))))
-    rows = list(features(*_buffer(texts)))
+    rows = [f for i in range(0, len(texts), 200) for f in features(*_buffer(texts[i:i + 200]))]  # hashing needs some ten times a part's size
     part = np.zeros(len(y), np.int64)  # every fifth row of each label is for the curve
     for label in (0, 1):
         part[np.flatnonzero(y == label)] = np.arange((y == label).sum()) % 5
@@ -115,6 +121,7 @@ def fit(texts: list[bytes], y: np.ndarray, cost: float = 1.0, rounds: int = 12,
         curve = np.arange(len(y))
     margin = np.array([model.weights[rows[i]].sum(dtype=np.float64) / max(len(rows[i]), 1) ** 0.5 for i in curve])
     model.slope, model.shift = map(float, logistic(margin[:, None], y[curve], ridge=0.1))
+    model.shift += odds - float(np.log(y[curve].sum() / (1 - y[curve]).sum()))
     return model
 
 
@@ -132,6 +139,6 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def as_contract(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    model = fit(*sample(docs, labels, "quality", 3, 1))
+    model = fit(*sample(docs, labels, "quality", 3, 1, rows_per_label=ROWS_PER_LABEL))
     return score(docs, model).select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score",
                                      (F.col("score") >= 0.5).cast("int").alias("predicted"))

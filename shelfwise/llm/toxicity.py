@@ -58,8 +58,19 @@ class Tokens:
         roll = Rolling(data)
         words = (roll.ranges(start, stop) >> np.uint64(64 - BITS)).astype(np.int64)
         grams = (roll.grams(GRAM) >> np.uint64(64 - BITS)).astype(np.int32)
+        grams = np.concatenate([grams, np.zeros(len(data) - len(grams), np.int32)])
         return cls(words, start, stop, np.searchsorted(start, begin), grams)
 
+    @classmethod
+    def of_many(cls, texts: list[bytes], at_once: int = 200) -> Tokens:
+        """The same, put together from small parts (hashing needs some ten times a part's size)."""
+        parts = [cls.of(texts[i:i + at_once]) for i in range(0, max(len(texts), 1), at_once)]
+        places = np.cumsum([0, *(len(p.grams) for p in parts)])
+        tokens = np.cumsum([0, *(len(p.words) for p in parts)])
+        return cls(np.concatenate([p.words for p in parts]),
+                   np.concatenate([p.start + k for p, k in zip(parts, places)]), np.concatenate([p.stop + k for p, k in zip(parts, places)]),
+                   np.concatenate([*(p.first[:-1] + k for p, k in zip(parts, tokens)), tokens[-1:]]), np.concatenate([p.grams for p in parts]))
+
     def starts(self) -> np.ndarray:
         out = np.zeros(len(self.words), bool)
         out[self.first[self.first < len(out)]] = True
@@ -182,22 +193,21 @@ def _telling(toxic: np.ndarray, clean: np.ndarray, y: np.ndarray, least: float =
     return (share >= least) & (toxic >= max(texts, 0.01 * n))
 
 
-def fit(texts: list[bytes], y: np.ndarray, rounds: int = 40, rate: float = 0.5, ridge: float = 1e-3) -> Field:
-    """The field on four fifths of the texts, the curve on the rest."""
+def fit(texts: list[bytes], y: np.ndarray, odds: float = 0.0, rounds: int = 40, rate: float = 0.5, ridge: float = 1e-3) -> Field:
+    """The field on four fifths of the texts, the curve on the rest, moved to the log ``odds`` of label 1."""
     model = Field()
     part = np.zeros(len(y), np.int64)
     for label in (0, 1):
         part[np.flatnonzero(y == label)] = np.arange((y == label).sum()) % 5
     if len(set(y[part < 4].tolist())) < 2:
         return model
-    t, labels = Tokens.of([x for x, k in zip(texts, part) if k < 4]), y[part < 4]
+    t, labels = Tokens.of_many([x for x, k in zip(texts, part) if k < 4]), y[part < 4]
     starts = t.starts()
     doc = np.repeat(np.arange(len(labels)), np.diff(t.first))
     lo, hi = t.gram_bounds()
     size = hi - lo
-    place = np.repeat(lo - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-    token = np.repeat(np.arange(len(t.words)), size)
-    grams = t.grams[place]
+    token = np.repeat(np.arange(len(t.words), dtype=np.int32), size)
+    grams = t.grams[np.repeat(lo - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())]
     word_counts, gram_counts = _support(doc, t.words, labels), _support(doc[token], grams, labels)
     named = _telling(*word_counts, labels)[t.words]
     named |= np.bincount(token[_telling(*gram_counts, labels)[grams]], minlength=len(named)) > 0
@@ -227,8 +237,9 @@ def fit(texts: list[bytes], y: np.ndarray, rounds: int = 40, rate: float = 0.5,
         bias_sum += gap.sum() ** 2
         model.bias += rate * gap.sum() / bias_sum ** 0.5
     rest = part == 4 if len(set(y[part == 4].tolist())) == 2 else part >= 0
-    t = Tokens.of([x for x, k in zip(texts, rest) if k])
+    t = Tokens.of_many([x for x, k in zip(texts, rest) if k])
     model.curve = logistic(model.documents(model.expectations(t)[0], t.first), y[rest], ridge=0.1)
+    model.curve[-1] += odds - np.log(y[rest].sum() / (1 - y[rest]).sum())
     return model
 
 
