@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 NULL_ORD = (1 << 63) - 1
 #: Text bytes handled at once inside a task (a longer single text is handled alone).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
