@@ -82,7 +82,7 @@ PROMPT_RUNS = (
         "{0: 'detest', 1: 'love'}",
     ),
     (
-        "flan-t5-base-dbbook-structured-prompt-1",
+        "flan-t5-base-dbbook-structured-prompt-manual",
         "structured",
         "We want to recommend a book. The candidate book is written by *item_author*, published by *item_publisher*, it belongs to the series *item_series*. The user likes the genres *user_genres*, the candidate book is about *item_subject* and has genre *item_genre*, it is good to recommend to him the candidate book?",
         "{0:'No', 1:'Yes'}",

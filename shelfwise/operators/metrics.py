@@ -46,7 +46,6 @@ class TaskSpec:
 TASKS = {
     "dbbook": TaskSpec("dbbook", 2, "classification", (0, 1), accuracy),
     "dbbook_ranking": TaskSpec("dbbook_ranking", 2, "classification", (0, 1), accuracy),
-    "truncate": TaskSpec("truncate", 2, "classification", ("0", "1"), accuracy),
 }
 
 

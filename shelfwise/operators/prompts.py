@@ -2,9 +2,8 @@
 
 A run is (run_name, kind, template, word_neg, word_pos). The fan-out over runs
 is an ``explode`` of a literal array of run structs: a generator in the same
-stage as the rows it multiplies, no join and no shuffle. Runs are
-configuration (a handful of parameter files); ``runs_from_frame`` refuses more
-than ``MAX_RUNS`` of them so the literal stays bounded.
+stage as the rows it multiplies, no join and no shuffle. A prompt is rendered
+after the fan-out, one at a time, so a row never holds the prompts of all runs.
 """
 
 from __future__ import annotations
@@ -15,10 +14,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.fixed_values import PROMPT_RUNS
-from shelfwise.functions.prompt import label_word, parse_mapping, render_structured, render_text_template
+from shelfwise.fixed_values import COLD_START_PHRASE, COLD_START_REPLACEMENT, PROMPT_RUNS
+from shelfwise.functions.prompt import label_word, parse_mapping, render_structured, render_text, render_text_template
 
-MAX_RUNS = 1000
+COLD_START = (COLD_START_PHRASE, COLD_START_REPLACEMENT)
+#: Up to so many text templates each get an expression of their own; beyond that one expression reads the template
+#: from its column. Both give the same prompts.
+SPECIALISED = 32
 
 
 @dataclass(frozen=True)
@@ -41,14 +43,6 @@ def default_runs(kind: str | None = None) -> list[PromptRun]:
     return [r for r in runs if kind is None or r.kind == kind]
 
 
-def runs_from_frame(runs: DataFrame) -> list[PromptRun]:
-    """Bounded read of a run table (run_name, kind, template, word_neg, word_pos)."""
-    rows = runs.select("run_name", "kind", "template", "word_neg", "word_pos").limit(MAX_RUNS + 1).collect()
-    if len(rows) > MAX_RUNS:
-        raise ValueError(f"more than {MAX_RUNS} prompt runs; split the job by run")
-    return [PromptRun(*r) for r in rows]
-
-
 def with_runs(df: DataFrame, runs: Iterable[PromptRun], index_col: str | None = None) -> DataFrame:
     """One output row per (input row, run); adds the run columns."""
     runs = list(runs)
@@ -68,47 +62,42 @@ def with_runs(df: DataFrame, runs: Iterable[PromptRun], index_col: str | None =
     return out if index_col is None else out.withColumnRenamed("run_index", index_col)
 
 
-def _render(run: PromptRun) -> F.Column:
-    if run.kind == "text":
-        return render_text_template(run.template)
-    if run.kind == "structured":
-        return render_structured(F.lit(run.template))
-    raise ValueError(f"unknown prompt kind {run.kind!r}")
-
+def _prompt(runs: list[PromptRun], cold_start: tuple[str, str]) -> F.Column:
+    """F8/F9 of the row's run."""
+    kinds = {r.kind for r in runs}
+    if not kinds <= {"text", "structured"} or len(kinds) != 1:
+        raise ValueError(f"prompt runs of one kind, text or structured, are needed, not {sorted(kinds)}")
+    if kinds == {"structured"}:
+        return render_structured(F.col("template"), cold_start=cold_start)
+    if len(runs) > SPECIALISED:
+        return render_text(F.col("template"), cold_start=cold_start)
+    prompt = F.when(F.lit(False), F.lit(""))
+    for i, r in enumerate(runs):
+        prompt = prompt.when(F.col("_run_index") == i, render_text_template(r.template, cold_start))
+    return prompt
 
-def _with_prompts(df: DataFrame, runs: list[PromptRun]) -> DataFrame:
-    """J9 + F8/F9: one row per (input row, run) carrying its rendered prompt.
 
-    Each run's template is a literal, so its prompt expression is specialised
-    per run; the array of per-run structs is exploded in the same stage.
-    """
-    if not runs:
-        raise ValueError("no prompt runs given")
-    structs = [
-        F.struct(
-            F.lit(r.run_name).alias("run_name"),
-            F.lit(r.word_neg).cast("string").alias("word_neg"),
-            F.lit(r.word_pos).cast("string").alias("word_pos"),
-            _render(r).alias("prompt"),
-        )
-        for r in runs
-    ]
-    return df.select("*", F.explode(F.array(*structs)).alias("_run")).select("*", "_run.*").drop("_run")
+def _with_prompts(df: DataFrame, runs: list[PromptRun], cold_start: tuple[str, str]) -> DataFrame:
+    """J9 + F8/F9: one row per (input row, run) carrying its rendered prompt."""
+    fan = with_runs(df, runs, index_col="_run_index")
+    return fan.withColumn("prompt", _prompt(runs, cold_start)).drop("_run_index", "template")
 
 
-def training_prompts(examples: DataFrame, runs: Iterable[PromptRun], kind: str) -> DataFrame:
+def training_prompts(examples: DataFrame, runs: Iterable[PromptRun], kind: str,
+                     cold_start: tuple[str, str] = COLD_START) -> DataFrame:
     """``run_name[, split], user_id, item_id, label, prompt, label_word``."""
     runs = [r for r in runs if r.kind == kind]
     extra = ["split"] if "split" in examples.columns else []
-    fan = _with_prompts(examples, runs)
+    fan = _with_prompts(examples, runs, cold_start)
     return fan.select(
         "run_name", *extra, "user_id", "item_id", "label", "prompt",
         label_word(F.col("label"), F.col("word_neg"), F.col("word_pos")).alias("label_word"),
     )
 
 
-def ranking_prompts(candidates: DataFrame, runs: Iterable[PromptRun], kind: str) -> DataFrame:
+def ranking_prompts(candidates: DataFrame, runs: Iterable[PromptRun], kind: str,
+                    cold_start: tuple[str, str] = COLD_START) -> DataFrame:
     """``run_name, user_id, item_id, prompt, word_pos`` (no label)."""
     runs = [r for r in runs if r.kind == kind]
-    fan = _with_prompts(candidates, runs)
+    fan = _with_prompts(candidates, runs, cold_start)
     return fan.select("run_name", "user_id", "item_id", "prompt", "word_pos")

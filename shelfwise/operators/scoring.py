@@ -53,11 +53,16 @@ def score_prompts(prompts: DataFrame, scorer: Scorer, balance_partitions: int |
 
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            score = pd.Series(list(scorer(batch)), dtype="float64")
+            if len(score) != len(batch):
+                raise ValueError(f"the scorer returned {len(score)} scores for {len(batch)} prompts")
+            if score.isna().any():
+                raise ValueError("the scorer returned a missing score")
             yield pd.DataFrame({
-                "run_name": batch["run_name"],
-                "user_id": batch["user_id"],
-                "item_id": batch["item_id"],
-                "score": pd.Series(scorer(batch), index=batch.index).astype("float64"),
+                "run_name": batch["run_name"].to_numpy(),
+                "user_id": batch["user_id"].to_numpy(),
+                "item_id": batch["item_id"].to_numpy(),
+                "score": score.to_numpy(),
             })
 
     return src.mapInPandas(apply, SCORE_SCHEMA)
@@ -83,15 +88,15 @@ def scored_ranking(
     balance_partitions: int | None = None,
     checkpoint: bool = True,
 ) -> DataFrame:
-    """``run_name, user_id, item_id, score, rank``.
+    """``run_name, user_id, item_id, score, rank``; a repeated candidate counts once, with its last score.
 
     Scores are checkpointed before ranking (``checkpoint=True``): the model
     then runs exactly once per prompt, even though ranking reads its input
     twice (range sampling, then the shuffle).
     """
-    scores = score_prompts(prompts, scorer, balance_partitions)
+    scores = score_prompts(prompts, scorer, balance_partitions).withColumn("_seq", F.monotonically_increasing_id())
     if checkpoint:
         scores = materialize(scores)
-    return rank_scores(scores).select(
+    return rank_scores(latest_scores(scores, "_seq")).select(
         "run_name", "user_id", "item_id", "score", "rank"
     )

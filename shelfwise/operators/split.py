@@ -7,17 +7,19 @@ independent pseudo-random order that is engine- and partitioning-neutral.
 Rows are never matched by value: duplicated (user, item) rows stay distinct.
 Rows with a NULL user always stay in train.
 
-The ranking inside each user is computed without sending a user's rows to a
-single task (see ``ranking.rank_within_groups``).
+A user's rows are never in one task: the order key is a hash, so its first two
+hex digits deal a user's rows evenly over 256 buckets. Rows are ranked inside
+their (user, bucket); the rows in smaller buckets come from a table of counts
+with at most 256 rows a user.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.fixed_values import DEV_FRACTION, SPLIT_SEED
-from shelfwise.operators.ranking import rank_within_groups, rank_within_groups_window
+from shelfwise.operators.ranking import rank_within_groups_window
 
 
 def sample_key(seed: int) -> Column:
@@ -26,6 +28,19 @@ def sample_key(seed: int) -> Column:
     )
 
 
+def _ranked_by_bucket(rows: DataFrame, seed: int) -> DataFrame:
+    """``rows`` with ``_rk``, the place in the user's order, and ``_n``, the user's rows."""
+    keyed = rows.withColumn("_key", sample_key(seed)).withColumn("_bucket", F.substring("_key", 1, 2))
+    by_user = Window.partitionBy("user_id").orderBy("_bucket")
+    counts = keyed.groupBy("user_id", "_bucket").agg(F.count("*").alias("_here")).select(
+        "user_id", "_bucket",
+        (F.sum("_here").over(by_user.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_here")).alias("_before"),
+        F.sum("_here").over(by_user.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_n"),
+    )
+    inside = Window.partitionBy("user_id", "_bucket").orderBy("_key", "item_id", "label")
+    return keyed.join(counts, ["user_id", "_bucket"]).withColumn("_rk", F.col("_before") + F.row_number().over(inside))
+
+
 def assign_split(
     interactions: DataFrame,
     frac: float = DEV_FRACTION,
@@ -33,15 +48,17 @@ def assign_split(
     skew_safe: bool = True,
 ) -> DataFrame:
     """Return ``user_id, item_id, label, split`` with split in {'train','dev'}."""
-    order = [sample_key(seed), F.col("item_id"), F.col("label")]
-    rank = rank_within_groups if skew_safe else rank_within_groups_window
-    ranked = rank(interactions, ["user_id"], order, rank_col="_rk", size_col="_n")
-    is_dev = F.col("user_id").isNotNull() & (
-        F.col("_rk") <= F.rint(F.lit(float(frac)) * F.col("_n"))
-    )
+    if skew_safe:
+        ranked = _ranked_by_bucket(interactions.where("user_id IS NOT NULL"), seed)
+    else:
+        order = [sample_key(seed), F.col("item_id"), F.col("label")]
+        ranked = rank_within_groups_window(interactions.where("user_id IS NOT NULL"), ["user_id"], order, rank_col="_rk", size_col="_n")
+    # rows without a user stay in train and out of the shuffles
+    rest = interactions.where("user_id IS NULL").select("user_id", "item_id", "label", F.lit("train").alias("split"))
+    is_dev = F.col("_rk") <= F.rint(F.lit(float(frac)) * F.col("_n"))
     return ranked.select(
         "user_id", "item_id", "label", F.when(is_dev, "dev").otherwise("train").alias("split")
-    )
+    ).unionByName(rest)
 
 
 def split_counts_by_user(split: DataFrame) -> DataFrame:

@@ -128,7 +128,7 @@ examples AS (
   LEFT JOIN item_features f ON a.item_id = f.item_id),
 truncated AS (
   SELECT item_id,
-    array_to_string(regexp_split_to_array(trim(item_text), '\\s+')[1:{MAX_TEXT_TOKENS}], ' ') AS item_text
+    array_to_string(regexp_split_to_array(regexp_replace(item_text, '^\\s+|\\s+$', '', 'g'), '\\s+')[1:{MAX_TEXT_TOKENS}], ' ') AS item_text
   FROM texts),
 text_examples AS (
   SELECT e.user_id, e.item_id, e.label, e.user_genres, e.item_genre, t.item_text, e.split

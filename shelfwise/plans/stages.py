@@ -49,6 +49,8 @@ def train_dev_split(
     assigned = split.assign_split(raw_train, dev_size, seed)
     for name in ("train", "dev"):
         rows = assigned.where(F.col("split") == name).drop("split")
+        if name == "dev":  # O2
+            rows = rows.repartitionByRange("user_id").sortWithinPartitions("user_id")
         tsv.write_tsv(rows, _p(data_dir, "interim", dataset, f"{name}.tsv"))
     test = tsv.read_interactions(spark, _p(data_dir, "raw", dataset, "test.tsv"))
     tsv.write_tsv(test, _p(data_dir, "interim", dataset, "test.tsv"))
@@ -130,16 +132,29 @@ def export_ground_truth(
 
 
 def filter_predictions(
-    spark: SparkSession, results_dir: str, truth_path: str, out_dir: str
+    spark: SparkSession, results_dir: str, truth_paths: str | dict[str, str], out_dir: str,
+    runs: list[prompts.PromptRun] | None = None,
 ) -> DataFrame:
     """Every run's predictions restricted to users with ground truth.
 
+    ``truth_paths`` is one path for runs of one kind, or a path per kind
+    (``{"text": ..., "structured": ...}``) together with the ``runs``, whose
+    kinds say which truth a run is held against.
+
     Reads the per-run folders written by ``rank_candidates`` (rank = line
     order) and writes to a separate location (never into ``results_dir``).
     """
     preds = tsv.read_predictions(spark, _p(results_dir, "run_name=*"))
-    truth = tsv.read_ground_truth(spark, truth_path)
-    kept = export.evaluable_predictions(preds, truth)
+    if isinstance(truth_paths, str):
+        kept = export.evaluable_predictions(preds, tsv.read_ground_truth(spark, truth_paths))
+    else:
+        if not runs:
+            raise ValueError("a truth per kind needs the runs")
+        kept = None
+        for kind, path in truth_paths.items():
+            own = preds.where(F.col("run_name").isin([r.run_name for r in runs if r.kind == kind]))
+            part = export.evaluable_predictions(own, tsv.read_ground_truth(spark, path))
+            kept = part if kept is None else kept.unionByName(part)
     tsv.write_ranked_predictions(kept, out_dir)
     return kept
 
@@ -186,8 +201,10 @@ def main(argv: list[str]) -> None:
     p.add_argument("--out-folder", default="eval")
     p = sub.add_parser("filter", help="keep predictions of users with ground truth")
     p.add_argument("results_dir")
-    p.add_argument("truth_path")
+    p.add_argument("truth_path", help="ground truth of text runs (of all runs without --params)")
     p.add_argument("out_dir")
+    p.add_argument("--structured", help="ground truth of structured runs")
+    p.add_argument("--params", help="folder of run parameter JSON files, with --structured")
     args = parser.parse_args(argv)
 
     spark = build_session()
@@ -199,7 +216,8 @@ def main(argv: list[str]) -> None:
     elif args.cmd == "export":
         export_ground_truth(spark, args.data_dir, args.dataset, args.out_folder)
     else:
-        filter_predictions(spark, args.results_dir, args.truth_path, args.out_dir)
+        truth = {"text": args.truth_path, "structured": args.structured} if args.structured else args.truth_path
+        filter_predictions(spark, args.results_dir, truth, args.out_dir, read_prompt_runs(spark, args.params) if args.params else None)
 
 
 if __name__ == "__main__":

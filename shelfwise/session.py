@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import shlex
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of ours wants, local or cluster. A cluster launcher
@@ -37,7 +39,8 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(_DEFAULTS)
+    given = _launcher_settings()
+    conf = {k: v for k, v in _DEFAULTS.items() if k not in given}
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -49,6 +52,15 @@ def build_session(
     return spark
 
 
+def _launcher_settings() -> set[str]:
+    """Names of the settings that spark-submit or the environment gave."""
+    if "PYSPARK_GATEWAY_PORT" in os.environ:  # started by spark-submit: its settings are in the JVM
+        SparkContext._ensure_initialized()
+        return {k for k, _ in SparkConf().getAll()}
+    words = shlex.split(os.environ.get("PYSPARK_SUBMIT_ARGS", ""))
+    return {b.split("=", 1)[0] for a, b in zip(words, words[1:]) if a in ("--conf", "-c")}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -58,6 +70,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="shelfwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)

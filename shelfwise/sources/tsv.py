@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise import schemas
-from shelfwise.functions.text import file_stem, na_to_null
+from shelfwise.functions.text import na_to_null
 from shelfwise.operators.ranking import rank_within_groups
 
 _CSV_OPTIONS = {
@@ -37,6 +37,16 @@ def _with_na(df: DataFrame, schema: T.StructType) -> DataFrame:
     ])
 
 
+def _number(part, kind: str, wanted=None):
+    """The id in ``part``; a line without it ends the job with its file and text, as pandas does.
+
+    ``wanted`` marks the lines that count: Spark may look at a line before the filter that drops it.
+    """
+    bad = F.raise_error(F.concat(F.lit("malformed line in "), F.col("file"), F.lit(": "), F.col("line"))).cast(kind)
+    real = F.trim("line") != ""
+    return F.coalesce(part.try_cast(kind), F.when(real if wanted is None else real & wanted, bad))
+
+
 def read_tsv(
     spark: SparkSession,
     path: str,
@@ -77,12 +87,12 @@ def read_item_prop(spark: SparkSession, path: str, with_seq: bool = True) -> Dat
     """Triples; ``seq`` = line number when ``with_seq`` (triple order)."""
     if not with_seq:
         return read_tsv(spark, path, schemas.ITEM_PROP)
-    lines = read_lines(spark, path)
+    lines = read_lines(spark, path).where(F.trim("line") != "")
     parts = F.split(F.col("line"), "\t")
     return lines.select(
-        parts[0].try_cast("long").alias("item_id"),
-        parts[1].try_cast("long").alias("id"),
-        parts[2].try_cast("int").alias("type"),
+        _number(F.get(parts, F.lit(0)), "long").alias("item_id"),
+        _number(F.get(parts, F.lit(1)), "long").alias("id"),
+        _number(F.get(parts, F.lit(2)), "int").alias("type"),
         F.col("seq"),
     )
 
@@ -111,19 +121,23 @@ def read_entities(spark: SparkSession, path: str, skip_rows: int = 2) -> DataFra
     ``seq`` is the entity-file order used to pick "first" values (D2).
     """
     parts = F.split(F.col("line"), "\t", 2)
-    return read_lines(spark, path, skip_rows).select(
-        parts[0].try_cast("long").alias("id"),
-        na_to_null(F.element_at(parts, 2)).alias("prop"),
+    return read_lines(spark, path, skip_rows).where(F.trim("line") != "").select(
+        _number(F.get(parts, F.lit(0)), "long", F.col("seq") > 0).alias("id"),
+        na_to_null(F.get(parts, F.lit(1))).alias("prop"),
         F.col("seq"),
     )
 
 
+def _decoded(path):
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     """``run_name, user_id, item_id, rank`` from ``user<TAB>item`` files.
 
     ``rank`` is the position of the line among the same user's lines of the
     same run, in file order (files of a run in name order). The run name is
-    the ``run_name=<run>`` folder a file sits in, else the file stem, so one
+    the ``run_name=<run>`` folder a file sits in, else the file's name without its suffix, so one
     folder can hold every run.
     """
     raw = spark.read.text(path).select(
@@ -133,11 +147,14 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("_mid"),
     )
     parts = F.split(F.col("line"), "\t")
-    folder_run = F.nullif(F.regexp_extract(F.col("file"), r"/run_name=([^/]+)/[^/]*$", 1), F.lit(""))
+    # Spark's file paths are URL-encoded, and its partition folders escape names once more.
+    folder_run = F.nullif(F.regexp_extract(_decoded(F.col("file")), r"/run_name=([^/]+)/[^/]*$", 1), F.lit(""))
+    folder_run = _decoded(folder_run)
+    file_run = F.regexp_extract(_decoded(F.col("file")), r"([^/]+?)(?:\.(?:txt|tsv|csv))?$", 1)
     rows = raw.where(F.col("line") != "").select(
-        F.coalesce(folder_run, file_stem(F.col("file"))).alias("run_name"),
-        parts[0].try_cast("long").alias("user_id"),
-        parts[1].try_cast("long").alias("item_id"),
+        F.coalesce(folder_run, file_run).alias("run_name"),
+        _number(F.get(parts, F.lit(0)), "long").alias("user_id"),
+        _number(F.get(parts, F.lit(1)), "long").alias("item_id"),
         "file", "_blk", "_mid",
     )
     ranked = rank_within_groups(rows, ["run_name", "user_id"], ["file", "_blk", "_mid"], rank_col="rank")
@@ -163,11 +180,11 @@ def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def write_ranked_predictions(df: DataFrame, path: str, partition_by_run: bool = True) -> None:
     """K3/K4: ``user_id<TAB>item_id`` lines in rank order, one folder per run.
 
-    Range partitioning by (run, user) + a per-partition sort gives ordered
+    Range partitioning by (run, user, rank) + a per-partition sort gives ordered
     part files without a single-task global sort. An existing run folder is
     replaced (dynamic partition overwrite), other runs are left alone.
     """
-    ordered = df.repartitionByRange("run_name", "user_id").sortWithinPartitions("run_name", "user_id", "rank")
+    ordered = df.repartitionByRange("run_name", "user_id", "rank").sortWithinPartitions("run_name", "user_id", "rank")
     writer = (
         ordered.select("run_name", "user_id", "item_id").write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -157,7 +157,15 @@ def test_semi_and_anti_join(spark):
 def test_truncate_words_leading_blanks(spark):
     df = spark.createDataFrame([("  a b c",), ("\ta b",), ("x",), ("",)], "t string")
     out = [r[0] for r in df.select(truncate_words(F.col("t"), 2)).collect()]
-    assert out == ["a b", " a", "x", ""]
+    assert out == ["a b", "a b", "x", ""]
+    blank = spark.createDataFrame([("\t\n",), ("a b\n",)], "t string")
+    assert [r[0] for r in blank.select(truncate_words(F.col("t"), 5)).collect()] == ["", "a b"]
+
+
+def test_truncate_words_has_no_limit(spark):
+    df = spark.createDataFrame([(" ".join(f"w{i}" for i in range(20_000)),)], "t string")
+    for n in (5_000, 19_999, 20_000, 30_000):
+        assert df.select(F.size(F.split(truncate_words(F.col("t"), n), " "))).first()[0] == min(n, 20_000)
 
 
 def test_candidates_for_user(spark):
@@ -189,3 +197,51 @@ def test_concat_rendering_equals_sequential_replacement(spark):
             render_text_template(t).alias("a"), render_text(F.lit(t)).alias("b")
         ).collect()
         assert all(r["a"] == r["b"] for r in got), t
+
+
+def test_many_runs(spark):
+    rows = spark.createDataFrame([(1, 2, 1, "A", "text")], "user_id long, item_id long, label int, user_genres string, item_text string")
+    runs = [prompts.PromptRun(f"r{i}", "text", f"{i}: *item_text* for *user_id*", "No", "Yes") for i in range(1500)]
+    got = {r["run_name"]: (r["prompt"], r["label_word"]) for r in prompts.training_prompts(rows, runs, "text").collect()}
+    assert got == {f"r{i}": (f"{i}: text for 1", "Yes") for i in range(1500)}
+
+
+def test_cold_start_parameter(spark):
+    rows = spark.createDataFrame([(1, 2, "", "t")], "user_id long, item_id long, user_genres string, item_text string")
+    run = prompts.PromptRun("r", "text", "likes *user_genres*. *item_text*", "No", "Yes")
+    got = prompts.ranking_prompts(rows, [run], "text", cold_start=("likes *user_genres*", "is new")).first()["prompt"]
+    assert got == "is new. t"
+
+
+def test_scorer_output_is_checked(spark):
+    import pytest
+
+    rows = spark.createDataFrame([("r", 1, 5, "p", "Yes"), ("r", 1, 6, "p", "Yes")], "run_name string, user_id long, item_id long, prompt string, word_pos string").coalesce(1)
+    with pytest.raises(Exception, match="1 scores for 2 prompts"):
+        scoring.score_prompts(rows, lambda b: [0.5]).collect()
+    with pytest.raises(Exception, match="missing score"):
+        scoring.score_prompts(rows, lambda b: [0.5, float("nan")]).collect()
+
+
+def test_repeated_candidate_counts_once(spark):
+    rows = spark.createDataFrame([("r", 1, 5, "p", "Yes"), ("r", 1, 5, "p", "Yes"), ("r", 1, 6, "q", "Yes")],
+                                 "run_name string, user_id long, item_id long, prompt string, word_pos string")
+    got = scoring.scored_ranking(rows, scoring.StubScorer()).collect()
+    assert sorted((r["item_id"], r["rank"]) for r in got) == [(5, 2), (6, 1)]
+
+
+def test_shared_folder_is_needed_off_local():
+    import pytest
+
+    from shelfwise import session
+
+    class Context:
+        master = "spark://host:7077"
+        getConf = staticmethod(lambda: {})
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(Session())

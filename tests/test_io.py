@@ -4,6 +4,8 @@ import json
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from shelfwise import schemas
@@ -92,7 +94,38 @@ def test_param_files(spark):
         json.dump({"run_name": "s", "template": "*item_author*", "mapping": "{0: 'detest', 1: 'love'}"}, f)
     runs = {r.run_name: r for r in params.read_prompt_runs(spark, d)}
     assert runs["p-text"].kind == "text" and runs["p-text"].word_pos == "Yes"
-    assert runs["s"].kind == "structured" and runs["s"].word_neg == "detest"
+    # a run is named after its file, whatever the file says
+    assert runs["p-struct"].kind == "structured" and runs["p-struct"].word_neg == "detest"
+    os.makedirs(os.path.join(d, "more"))
+    with open(os.path.join(d, "more", "p-text.json"), "w") as f:
+        json.dump({"template": "x", "mapping": "{0:'No', 1:'Yes'}"}, f)
+    with pytest.raises(ValueError, match="p-text"):
+        params.read_prompt_runs(spark, f"{d}/{{p-*.json,more/*.json}}")
+
+
+def test_blank_lines_and_bad_ids(spark):
+    d = _tmp()
+    for name, body in (("good", "1\t2\t4\n\n  \n3\t5\t7\n"), ("bad", "1\t2\t4\nx\t2\t4\n"), ("short", "1\t2\n")):
+        with open(os.path.join(d, name), "w") as f:
+            f.write(body)
+    good = tsv.read_item_prop(spark, os.path.join(d, "good")).orderBy("seq").collect()
+    assert [(r["item_id"], r["id"], r["type"]) for r in good] == [(1, 2, 4), (3, 5, 7)]
+    for name in ("bad", "short"):
+        with pytest.raises(Exception, match="malformed line"):
+            tsv.read_item_prop(spark, os.path.join(d, name)).collect()
+
+
+def test_run_names_are_whole_and_decoded(spark):
+    d = _tmp()
+    for name in ("prompt-v1.2.txt", "prompt-v1.3.txt"):
+        with open(os.path.join(d, name), "w") as f:
+            f.write("1\t5\n1\t6\n")
+    got = sorted((r["run_name"], r["rank"]) for r in tsv.read_predictions(spark, d).collect())
+    assert got == [("prompt-v1.2", 1), ("prompt-v1.2", 2), ("prompt-v1.3", 1), ("prompt-v1.3", 2)]
+    d = _tmp()
+    df = spark.createDataFrame([("run a:b+c", 1, 9, 1)], "run_name string, user_id long, item_id long, rank long")
+    tsv.write_ranked_predictions(df, d)
+    assert [r["run_name"] for r in tsv.read_predictions(spark, os.path.join(d, "run_name=*")).collect()] == ["run a:b+c"]
 
 
 def test_rerun_replaces_only_its_run(spark):

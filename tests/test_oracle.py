@@ -33,4 +33,5 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_but_one_has_an_oracle():
-    assert set(entry.queries()) - set(SQL) == {"truncated_texts_subword"}
+    text = {n for n in entry.queries() if n == "pipeline" or n.startswith("op")}
+    assert set(entry.queries()) - set(SQL) - text == {"truncated_texts_subword"}

@@ -4,10 +4,13 @@ import json
 import os
 import tempfile
 
+from pyspark.sql import functions as F
+
 from shelfwise.fixed_values import PROMPT_RUNS
 from shelfwise.plans import stages
 from shelfwise.plans.recplan import RecPlan
 from shelfwise.sources import text_files, tsv
+from shelfwise.sources.params import read_prompt_runs
 
 SF = "/root/testdata/sf0.001"
 
@@ -66,7 +69,11 @@ def test_stages_match_plan(spark):
     truth = tsv.read_ground_truth(spark, truth_path)
     assert _same(truth, plan.ground_truth_text)
 
-    kept = stages.filter_predictions(spark, results, truth_path, os.path.join(root, "results-evaluable"))
-    users = truth.select("user_id").distinct()
-    assert kept.join(users, "user_id", "left_anti").count() == 0
-    assert kept.count() == expected.join(users, "user_id", "left_semi").count()
+    runs = read_prompt_runs(spark, params_dir)
+    paths = {"text": truth_path, "structured": os.path.join(root, "eval", "dbbook_structured", "test.tsv")}
+    kept = stages.filter_predictions(spark, results, paths, os.path.join(root, "results-evaluable"), runs)
+    structured = [r.run_name for r in runs if r.kind == "structured"]
+    for kind, path in paths.items():  # each run against the truth of its kind
+        users = tsv.read_ground_truth(spark, path).select("user_id").distinct()
+        of_kind = F.col("run_name").isin(structured) if kind == "structured" else ~F.col("run_name").isin(structured)
+        assert _same(kept.where(of_kind), expected.where(of_kind).join(users, "user_id", "left_semi").select(*kept.columns))
