@@ -34,15 +34,14 @@ def ground_truth_structured(test: DataFrame, item_features: DataFrame) -> DataFr
 def evaluable_predictions(predictions: DataFrame, truth: DataFrame, on=("user_id",)) -> DataFrame:
     """Keep predictions whose ``on`` key occurs in ``truth``."""
     keys = list(on)
-    return predictions.join(truth.select(*keys), keys, "left_semi")
+    return predictions.join(truth.select(*keys).distinct(), keys, "left_semi")
 
 
 def dropped_users(predictions: DataFrame, truth: DataFrame) -> DataFrame:
     """Users with predictions but no ground truth."""
     return (
-        predictions.select("user_id")
-        .join(truth.select("user_id"), "user_id", "left_anti")
-        .distinct()
+        predictions.select("user_id").distinct()
+        .join(truth.select("user_id").distinct(), "user_id", "left_anti")
     )
 
 

@@ -1,7 +1,6 @@
 """Query registry: name -> (spark, sf_dir) -> DataFrame.
 
-One ``RecPlan`` per (session, folder) is shared by all queries so that common
-sub-plans are built once per process.
+Every call builds its own ``RecPlan``, so a query sees its input as it is then.
 """
 
 from __future__ import annotations
@@ -12,14 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.plans.recplan import RecPlan
 
-_PLANS: dict[tuple[int, str], RecPlan] = {}
-
-
 def plan_for(spark: SparkSession, sf_dir: str) -> RecPlan:
-    key = (id(spark), sf_dir)
-    if key not in _PLANS:
-        _PLANS[key] = RecPlan(spark, sf_dir)
-    return _PLANS[key]
+    return RecPlan(spark, sf_dir)
 
 
 def _attr(name: str) -> Callable[[SparkSession, str], DataFrame]:
