@@ -1,7 +1,8 @@
 """Wide item feature table from knowledge-graph triples.
 
 Original: five row-wise correlated lookups, O(items x triples). Here: one join
-of the triples with the entity URIs and one conditional aggregation per item.
+of the triples of used codes with the entity URIs, the bare ids of all items
+beside it, and one conditional aggregation per item.
 
 * every item of the triple table appears once (A1), even when none of its
   triples has a known entity or a used property code (five NULLs);
@@ -58,9 +59,9 @@ def item_features(
         "item_id", "id", "type", *([F.col(triple_order).alias("_to")] if triple_order else [])
     )
     ents = _entities(entities, entity_order)
-    # Left join keeps items whose triples all miss the entity table; only
-    # triples of used codes need the URI, the rest just carry the item id.
-    joined = triples.join(ents, "id", "left")
+    # Only triples of used codes meet the entities (the filter reaches the scan);
+    # items without any are kept by a bare row each, distinct before its shuffle.
+    joined = triples.where(F.col("type").isin(*used)).join(ents, "id")
     typ, prop = F.col("type"), F.col("prop")
     # One cleaned value and one order key per triple, computed before the
     # aggregation instead of once per aggregate function.
@@ -69,8 +70,9 @@ def item_features(
         .when(typ == PROP_SUBJECT, clean_subject(prop))
         .when(typ.isin(PROP_AUTHOR, PROP_SERIES, PROP_PUBLISHER), strip_resource(prop))
     )
-    order = F.when(prop.isNotNull() & typ.isin(*used), _order_key(entity_order, triple_order))
+    order = F.when(prop.isNotNull(), _order_key(entity_order, triple_order))
     rows = joined.select("item_id", typ.alias("_t"), value.alias("_v"), order.alias("_o"))
+    rows = rows.unionByName(item_prop.select("item_id").distinct(), allowMissingColumns=True)
     t, v, o = F.col("_t"), F.col("_v"), F.col("_o")
 
     def first_of(code: int) -> Column:

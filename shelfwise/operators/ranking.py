@@ -12,18 +12,18 @@ core. Instead:
    share it: column pruning gives them different plans, Spark then samples the
    range bounds twice and the partitions disagree. Reading a checkpoint rules
    that out, also for nondeterministic inputs, and cuts the lineage);
-3. the local position comes from ``monotonically_increasing_id`` (partition
-   index in the high bits, row position below); the per-partition row counts
-   of the stored partitions (one number per partition, a proven bound) are
-   read once and become a literal offset array, so ``pos`` is the row's
-   position in the global order;
-4. the first position and the size of each group come from a plain
-   aggregation (map-side partial aggregation absorbs hot keys), joined back on
-   ``g`` with a shuffled hash join that builds on the group table (AQE splits
-   a skewed group's partition).
-
-``rank = pos - group_start + 1``. Without group columns the result is a global
-row number and step 4 is skipped.
+3. inside one stored partition a group is one run of neighbouring rows, and
+   ``monotonically_increasing_id`` (partition index in the high bits, row
+   position below) numbers them. One aggregation gives the first number and the
+   row count of every ``(g, partition)``: a row per group and one more for each
+   partition border a group crosses;
+4. a running sum of the counts over a group's partitions says how many of its
+   rows lie before; joined back on ``(g, partition)``, so that a hot group's
+   rows meet as many keys as it has partitions.
+
+``rank = rows before + number - first number + 1``. Without group columns the
+table of step 3 has one row per stored partition and is broadcast. Nothing
+passes through the driver, and the plan is the same for any number of partitions.
 """
 
 from __future__ import annotations
@@ -34,55 +34,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the partition id above bit 33
-_LOCAL_MASK = (1 << _LOCAL_BITS) - 1
 
 
 def _as_col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def global_positions(
-    df: DataFrame,
-    order_cols: Sequence[str | Column],
-    pos_col: str = "_sw_pos",
-    num_partitions: int | None = None,
-    total_col: str | None = None,
-) -> DataFrame:
-    """Add ``pos_col``: the 0-based position of each row in the total order.
-
-    ``total_col`` (optional) receives the total row count, taken from the
-    bounded per-partition count table rather than a global window.
-    """
+def _stored_in_order(df: DataFrame, keys: Sequence[Column], num_partitions: int | None) -> DataFrame:
+    """``df`` range-partitioned and sorted by ``keys``, stored, with the number ``_sw_mid`` and partition ``_sw_pid`` of each row."""
     from shelfwise.session import checkpoint_dir
 
-    keys = [_as_col(c) for c in order_cols]
     checkpoint_dir(df.sparkSession)
     # The checkpoint job is the only consumer of this exchange, so AQE may
     # coalesce adjacent range partitions (order is kept) unless a count is given.
     parted = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
     stored = parted.sortWithinPartitions(*keys).checkpoint(eager=True)
-
-    # One count per stored partition (a bounded collect: one number per
-    # partition), turned into literal offsets. The stored partitions never
-    # change, so later query executions need no count, window or broadcast.
-    counts = dict(
-        stored.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
-    )
-    size = max(counts, default=-1) + 1
-    offsets, running = [], 0
-    for p in range(size):
-        offsets.append(running)
-        running += counts.get(p, 0)
-
-    mid = F.col("_sw_mid")
-    pid = F.shiftright(mid, _LOCAL_BITS).cast("int")
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), pid + 1) if offsets else F.lit(0)
-    extra = [F.lit(running).cast("long").alias(total_col)] if total_col else []
-    return stored.withColumn("_sw_mid", F.monotonically_increasing_id()).select(
-        *[c for c in df.columns],
-        (offset + mid.bitwiseAND(F.lit(_LOCAL_MASK))).alias(pos_col),
-        *extra,
-    )
+    return (stored.withColumn("_sw_mid", F.monotonically_increasing_id())
+            .withColumn("_sw_pid", F.shiftright("_sw_mid", _LOCAL_BITS)))
 
 
 def rank_within_groups(
@@ -96,34 +64,29 @@ def rank_within_groups(
     """Add ``rank_col`` = row_number() over (partition by group order by order).
 
     Ranks are 1-based BIGINT. ``size_col`` (optional) receives the group size.
-    Null group keys form their own group, as in a window.
+    Null group keys form their own group, as in a window; without group columns
+    the whole table is one group.
     """
     group_cols = list(group_cols)
-    if not group_cols:
-        pos = global_positions(df, order_cols, "_sw_pos", num_partitions, total_col=size_col)
-        return pos.withColumn(rank_col, F.col("_sw_pos") + F.lit(1)).drop("_sw_pos")
-
-    pos = global_positions(df, [*group_cols, *order_cols], "_sw_pos", num_partitions)
-
-    aggs = [F.min("_sw_pos").alias("_sw_start")]
-    if size_col:
-        aggs.append(F.count(F.lit(1)).alias(size_col))
-    starts = pos.groupBy(*group_cols).agg(*aggs)
-    renamed = starts.select(
+    numbered = _stored_in_order(df, [_as_col(c) for c in [*group_cols, *order_cols]], num_partitions)
+    runs = numbered.groupBy(*group_cols, "_sw_pid").agg(F.min("_sw_mid").alias("_sw_first"), F.count(F.lit(1)).alias("_sw_n"))
+    group = Window.partitionBy(*group_cols)
+    before = group.orderBy("_sw_pid").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(
         *[F.col(c).alias(f"_sw_g{i}") for i, c in enumerate(group_cols)],
-        *[c for c in starts.columns if c not in group_cols],
+        F.col("_sw_pid").alias("_sw_of"),
+        "_sw_first",
+        F.coalesce(F.sum("_sw_n").over(before), F.lit(0)).alias("_sw_before"),
+        *([F.sum("_sw_n").over(group).alias(size_col)] if size_col else []),
     )
-    cond = [pos[c].eqNullSafe(renamed[f"_sw_g{i}"]) for i, c in enumerate(group_cols)]
-    # Shuffled hash join, building on the (smaller) group table. Without the
-    # hint AQE may broadcast the positioned rows when they are small and
-    # stream the group table, which it has coalesced to very few partitions:
-    # every ranked row then flows through one task. AQE still splits skewed
-    # partitions of a shuffled hash join.
-    joined = pos.join(renamed.hint("shuffle_hash"), cond, "inner")
-    keep = [*df.columns, (F.col("_sw_pos") - F.col("_sw_start") + F.lit(1)).alias(rank_col)]
-    if size_col:
-        keep.append(F.col(size_col))
-    return joined.select(*keep)
+    cond = [numbered["_sw_pid"] == runs["_sw_of"]]
+    cond += [numbered[c].eqNullSafe(runs[f"_sw_g{i}"]) for i, c in enumerate(group_cols)]
+    # The merge join can spill and AQE splits it. Without the hint AQE may
+    # broadcast the numbered rows when they are small and stream the table of
+    # runs, coalesced to very few partitions: every row then flows through one task.
+    joined = numbered.join(runs.hint("merge") if group_cols else F.broadcast(runs), cond, "inner")
+    rank = F.col("_sw_before") + F.col("_sw_mid") - F.col("_sw_first") + F.lit(1)
+    return joined.select(*df.columns, rank.alias(rank_col), *([size_col] if size_col else []))
 
 
 def rank_within_groups_window(

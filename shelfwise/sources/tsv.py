@@ -2,10 +2,10 @@
 
 Readers always take an explicit schema (no inference) and apply pandas'
 default missing-value tokens to string columns (S10). Where row order carries
-meaning (the entity file's "first" value, rank = line order of a prediction
-file) the reader adds the line ordinal ``seq``, computed without a driver
-pass: split start offset (``_metadata.file_block_start``) plus position inside
-the split, ranked per file by the distributed row numbering.
+meaning the reader adds ``seq``. File, split start (``_metadata.file_block_start``)
+and position inside the split order lines without a shuffle, which is all that
+triples need; entities (and the rank of predictions) get the ordinal, by the
+distributed row numbering.
 """
 
 from __future__ import annotations
@@ -84,10 +84,10 @@ def read_examples(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_item_prop(spark: SparkSession, path: str, with_seq: bool = True) -> DataFrame:
-    """Triples; ``seq`` = line number when ``with_seq`` (triple order)."""
+    """Triples; with ``with_seq`` a ``seq`` that sorts in triple order (a struct: file, split, place)."""
     if not with_seq:
         return read_tsv(spark, path, schemas.ITEM_PROP)
-    lines = read_lines(spark, path).where(F.trim("line") != "")
+    lines = _raw_lines(spark, path).withColumn("seq", F.struct("file", "_blk", "_mid")).where(F.trim("line") != "")
     parts = F.split(F.col("line"), "\t")
     return lines.select(
         _number(F.get(parts, F.lit(0)), "long").alias("item_id"),
@@ -97,18 +97,22 @@ def read_item_prop(spark: SparkSession, path: str, with_seq: bool = True) -> Dat
     )
 
 
-def read_lines(spark: SparkSession, path: str, skip_rows: int = 0) -> DataFrame:
-    """Lines of every file with ``file`` and 1-based ``seq`` in file order.
-
-    The first ``skip_rows`` lines of each file are dropped.
-    """
-    raw = spark.read.text(path).select(
+def _raw_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with ``file, _blk, _mid``, which sort in file order."""
+    return spark.read.text(path).select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("_blk"),
         F.monotonically_increasing_id().alias("_mid"),
     )
-    ranked = rank_within_groups(raw, ["file"], ["_blk", "_mid"], rank_col="seq")
+
+
+def read_lines(spark: SparkSession, path: str, skip_rows: int = 0) -> DataFrame:
+    """Lines of every file with ``file`` and 1-based ``seq`` in file order.
+
+    The first ``skip_rows`` lines of each file are dropped.
+    """
+    ranked = rank_within_groups(_raw_lines(spark, path), ["file"], ["_blk", "_mid"], rank_col="seq")
     out = ranked.where(F.col("seq") > skip_rows).select("line", "file", "seq")
     if skip_rows:
         out = out.withColumn("seq", F.col("seq") - F.lit(skip_rows))
@@ -140,12 +144,7 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     the ``run_name=<run>`` folder a file sits in, else the file's name without its suffix, so one
     folder can hold every run.
     """
-    raw = spark.read.text(path).select(
-        F.col("value").alias("line"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("_blk"),
-        F.monotonically_increasing_id().alias("_mid"),
-    )
+    raw = _raw_lines(spark, path)
     parts = F.split(F.col("line"), "\t")
     # Spark's file paths are URL-encoded, and its partition folders escape names once more.
     folder_run = F.nullif(F.regexp_extract(_decoded(F.col("file")), r"/run_name=([^/]+)/[^/]*$", 1), F.lit(""))

@@ -92,11 +92,24 @@ def test_structured_join_is_inner_and_filter_pushed(spark):
     df = RecPlan(spark, SF).structured_examples
     lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
     top_join = next(line for line in lines if "Join " in line)
-    # written as left join + completeness filter; the plan is an inner join
     assert "Join Inner" in top_join
     # the completeness predicate runs on the feature side, below the join
-    below = "\n".join(lines[lines.index(top_join):])
-    assert "isnotnull(author" in below.replace(" ", "") or "author" in below
+    below = lines[lines.index(top_join):]
+    assert any("Filter" in line and all(f"{c}#" in line for c in ("author", "series", "publisher", "subject")) for line in below)
+
+
+def test_item_features_join_used_codes_only(spark):
+    df = RecPlan(spark, SF).item_features
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not any("LeftOuter" in line for line in lines)
+    assert any("Filter" in line and " IN (" in line for line in lines[next(i for i, x in enumerate(lines) if "Join Inner" in x):])
+
+
+def test_ranking_plan_does_not_grow_with_partitions(spark):
+    df = spark.range(2000).select((F.col("id") % 3).alias("g"), "id")
+    sizes = [len(rank_within_groups(df, ["g"], ["id"], num_partitions=n)._jdf.queryExecution().optimizedPlan().toString())
+             for n in (3, 300)]
+    assert abs(sizes[0] - sizes[1]) < 100
 
 
 def test_parquet_scans_are_pruned(spark):
