@@ -243,6 +243,23 @@ def fit(texts: list[bytes], y: np.ndarray, odds: float = 0.0, rounds: int = 40,
     return model
 
 
+def _spans(texts: list[bytes], t: Tokens, toxic: np.ndarray) -> list[list[dict]]:
+    """Per text the character ranges of runs of ``toxic`` tokens."""
+    out = [[] for _ in texts]
+    if not len(toxic):
+        return out
+    begin = np.concatenate([[1], 1 + np.cumsum([len(x) + 1 for x in texts])])
+    chars = np.cumsum((np.frombuffer(b" " + b" ".join(texts), np.uint8) & 0xC0) != 0x80)
+    doc = np.searchsorted(t.first, toxic, "right") - 1
+    head = np.flatnonzero(np.concatenate([[True], (np.diff(toxic) != 1) | (np.diff(doc) != 0)]))
+    tail = np.concatenate([head[1:], [len(toxic)]]) - 1
+    base = chars[begin[doc[head]] - 1]
+    lo, hi = chars[t.start[toxic[head]] - 1] - base, chars[t.stop[toxic[tail]] - 1] - base
+    for d, x, y in zip(doc[head].tolist(), lo.tolist(), hi.tolist()):
+        out[d].append({"start": x, "stop": y})
+    return out
+
+
 def tag(docs: DataFrame, model: Field, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """``ord, h, score, spans`` of every row; spans are character ranges of runs of toxic tokens."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -252,21 +269,10 @@ def tag(docs: DataFrame, model: Field, id_col: str = "doc_id", text_col: str = "
         for b in small_batches(batches):
             texts = byte_list(b.column("text"))
             t = Tokens.of(texts)
-            start, stop, first = t.start, t.stop, t.first
             p, _, _ = fitted.expectations(t)
-            begin = np.concatenate([[1], 1 + np.cumsum([len(x) + 1 for x in texts])])
-            spans = [[] for _ in texts]
-            docs_of = np.searchsorted(first, np.flatnonzero(p >= threshold), "right") - 1
-            last = (-1, -1)
-            for i, d in zip(np.flatnonzero(p >= threshold).tolist(), docs_of.tolist()):
-                lo, hi = (len(texts[d][:x - begin[d]].decode("utf-8", "ignore")) for x in (start[i], stop[i]))
-                if last == (d, i - 1):
-                    spans[d][-1]["stop"] = hi
-                else:
-                    spans[d].append({"start": lo, "stop": hi})
-                last = (d, i)
+            spans = _spans(texts, t, np.flatnonzero(p >= threshold))
             yield pa.RecordBatch.from_arrays(
-                [b.column("ord"), b.column("h"), pa.array(fitted.scores(p, first)),
+                [b.column("ord"), b.column("h"), pa.array(fitted.scores(p, t.first)),
                  pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))], ["ord", "h", "score", "spans"])
 
     return keyed(docs, id_col, text_col).mapInArrow(run, "ord long, h long, score double, spans array<struct<start:int,stop:int>>")
