@@ -1,8 +1,8 @@
 """Toxic spans by a linear-chain conditional random field with two states.
 
 Labelled tokens come from labelled documents: a token of a toxic document is
-toxic if the share of its word, or of five bytes in it, among toxic documents
-is many times that among clean ones (near copies count once). The field has one
+toxic if its word, or five bytes in it, is many times as common in toxic
+documents as in clean ones, by documents or by places (near copies count once). The field has one
 weight per hashed word, five bytes, neighbour word and pair of states, fitted by
 gradient steps on forward-backward expectations. Scoring runs forward-backward over whole texts;
 token marginals give the offending character spans, and their expected number
@@ -34,6 +34,8 @@ from shelfwise.llm.labelled import held_out, logistic, sample
 BITS = 20
 GRAM = 5
 BLOCK = 64
+#: Places of a word or gram in one text that count when labels are given to tokens.
+OFTEN = 16
 #: Same length as the input: lower-cases A-Z, blanks all ASCII but letters and digits.
 _WORDS = bytes(b if b >= 0x80 or chr(b).isalnum() else 32 for b in bytes(range(256)).lower())
 
@@ -179,18 +181,21 @@ class Field:
         return 1 / (1 + np.exp(-np.clip(x @ self.curve[:-1] + self.curve[-1], -30, 30)))
 
 
-def _support(doc: np.ndarray, number: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """In how many toxic and in how many clean texts each number occurs."""
-    seen = np.unique(doc.astype(np.int64) << BITS | number)
+def _support(doc: np.ndarray, number: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """In how many toxic and in how many clean texts each number occurs, and how often (at most ``OFTEN`` times a text)."""
+    seen, times = np.unique(doc.astype(np.int64) << BITS | number, return_counts=True)
     label, number = y[seen >> BITS], seen & ((1 << BITS) - 1)
-    return np.bincount(number[label == 1], minlength=1 << BITS), np.bincount(number[label == 0], minlength=1 << BITS)
+    times = np.minimum(times, OFTEN)
+    return (*(np.bincount(number[label == k], minlength=1 << BITS) for k in (1, 0)),
+            *(np.bincount(number[label == k], times[label == k], 1 << BITS) for k in (1, 0)))
 
 
-def _telling(toxic: np.ndarray, clean: np.ndarray, y: np.ndarray, least: float = 12.0, texts: int = 6) -> np.ndarray:
-    """Numbers whose share among toxic texts is ``least`` times that among clean ones, in enough of them."""
-    n = max((y == 1).sum(), 1)
-    share = (toxic / n) / ((clean + 0.5) / ((y == 0).sum() + 1))
-    return (share >= least) & (toxic >= max(texts, 0.01 * n))
+def _telling(toxic: np.ndarray, clean: np.ndarray, often: np.ndarray, seldom: np.ndarray, y: np.ndarray,
+             least: float = 12.0, texts: int = 6) -> np.ndarray:
+    """Numbers ``least`` times as common in toxic texts as in clean ones, by texts or by places, in enough toxic texts."""
+    n, rest = max((y == 1).sum(), 1), (y == 0).sum() + 1
+    by_texts, by_places = (toxic / n) / ((clean + 0.5) / rest), (often / n) / ((seldom + 0.5) / rest)
+    return (np.maximum(by_texts, by_places) >= least) & (toxic >= max(texts, 0.01 * n))
 
 
 def fit(texts: list[bytes], y: np.ndarray, odds: float = 0.0, rounds: int = 40, rate: float = 0.5, ridge: float = 1e-3) -> Field:
@@ -213,8 +218,8 @@ def fit(texts: list[bytes], y: np.ndarray, odds: float = 0.0, rounds: int = 40,
     named |= np.bincount(token[_telling(*gram_counts, labels)[grams]], minlength=len(named)) > 0
     truth = named & (labels[doc] == 1)
     # A number of few texts would only be learnt by heart.
-    words_used, grams_used = sum(word_counts) >= 5, sum(gram_counts) >= 5
-    near_used = sum(word_counts) >= 50
+    words_used, grams_used = sum(word_counts[:2]) >= 5, sum(gram_counts[:2]) >= 5
+    near_used = sum(word_counts[:2]) >= 50
     state = truth.astype(np.int64)
     inner = np.flatnonzero(~starts)
     couples = np.bincount(2 * state[inner - 1] + state[inner], minlength=4).reshape(2, 2)
