@@ -1,7 +1,9 @@
 """Connected components by alternating large-star and small-star steps.
 
 Both steps are a grouping and a join; every round is stored in the shared
-folder, so the lineage stays short and a lost executor re-reads files.
+folder, so the lineage stays short and a lost executor re-reads files. The
+rounds' files follow from the links counted before, not from the number of
+shuffle partitions: many small files cost more than the rounds themselves.
 """
 
 from __future__ import annotations
@@ -11,6 +13,9 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.common import stored
 
+#: Links that a file of a round is meant for.
+LINKS_PER_FILE = 1 << 18
+
 
 def _with_smallest(edges: DataFrame) -> DataFrame:
     """Per directed edge ``(u, v)`` the smallest node ``m`` among u and its neighbours."""
@@ -30,8 +35,10 @@ def components(edges: DataFrame) -> DataFrame:
         large = _with_smallest(both).where("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # large: each node points to a smaller one; small-star ties those targets together
         small = _with_smallest(large)
-        e = stored(small.select("v", "m").unionByName(small.select(F.col("u").alias("v"), "m"))
-                   .where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "star")
+        star = (small.select("v", "m").unionByName(small.select(F.col("u").alias("v"), "m"))
+                .where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        # A round leaves at most two links for each it took.
+        e = stored(star.coalesce(max(1, -(-2 * seen[0] // LINKS_PER_FILE))), "star")
         now = print_of(e)
         if now == seen:
             break
