@@ -122,15 +122,15 @@ def links(distinct: DataFrame, max_bits: int = 2, short: int = SHORT_POSTING) ->
 
 def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2, *, short: int = SHORT_POSTING,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``ord, h, fp, component_ord``."""
+    """One row per input row: ``ord, h, fp, root, component_ord``; ``root`` names the component by a fingerprint of it."""
     rows = stored(fingerprints(docs, words, id_col, text_col), "fingerprints")
     per_fp = stored(rows.groupBy("fp").agg(F.min("ord").alias("low")), "distinct")
     found = links(per_fp.select("fp"), max_bits, short)
     roots = components(found)
     joined = per_fp.join(roots, per_fp.fp == roots.node, "left").withColumn("root", F.coalesce("root", "fp"))
     low = joined.groupBy("root").agg(F.min("low").alias("component_ord"))
-    named = joined.join(low, "root").select("fp", "component_ord")
-    return rows.join(named, "fp").select("ord", "h", "fp", "component_ord")
+    named = joined.join(low, "root").select("fp", "root", "component_ord")
+    return rows.join(named, "fp").select("ord", "h", "fp", "root", "component_ord")
 
 
 def as_contract(found: DataFrame) -> DataFrame:

@@ -25,13 +25,13 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
     """The document of the smallest id of each component."""
-    found = stored(simhash.near_duplicates(docs, words, max_bits).select("ord", "h", "component_ord"), "components")
-    # Several rows may have the component's smallest id: the smallest text hash, and one row of it.
-    best = (found.where("ord = component_ord").groupBy("component_ord").agg(F.min("h").alias("h"))
-            .select(F.col("component_ord").alias("ord"), "h"))
-    repeats = (found.join(best.withColumn("best", F.lit(True)), ["ord", "h"], "left").where("best AND ord = component_ord")
-               .withColumn("nth", F.row_number().over(Window.partitionBy("ord", "h").orderBy("component_ord"))))
-    dropped = found.join(best, ["ord", "h"], "left_anti").select("ord", "h", F.lit(False).alias("keep"))
+    found = stored(simhash.near_duplicates(docs, words, max_bits).select("ord", "h", "root"), "components")
+    # Components may share their smallest id (a NULL id, or an id of several texts), so the root names them. Several
+    # rows of one may have its smallest id: the smallest text hash, and one row of it.
+    best = found.groupBy("root").agg(F.min(F.struct("ord", "h")).alias("best")).select("root", "best.*")
+    repeats = (found.join(best, ["root", "ord", "h"], "left_semi")
+               .withColumn("nth", F.row_number().over(Window.partitionBy("ord", "h").orderBy("root"))))
+    dropped = found.join(best, ["root", "ord", "h"], "left_anti").select("ord", "h", F.lit(False).alias("keep"))
     return apply_decisions(docs, dropped.unionByName(repeats.select("ord", "h", (F.col("nth") == 1).alias("keep"))))
 
 

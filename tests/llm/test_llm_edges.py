@@ -161,3 +161,11 @@ def test_stages(spark, docs, none, labels, benchmark, stage):
     if stage == "contaminated":
         assert got == [r for r in have if r[1] and r[1] != "x" and PASSAGE not in r[1] and "idiot" not in r[1] or r[1] in (None, "")]
     assert rows(run(none)) == []
+
+
+def test_near_stage_keeps_texts_that_share_an_id(spark):
+    """Components whose smallest id is NULL, or an id of several texts, stay apart."""
+    other = [" ".join(hashlib.sha256(f"{k} {i}".encode()).hexdigest()[:6] for i in range(40)) for k in range(7)]
+    have = [(None, other[0]), (None, other[1]), (None, other[2]), (None, other[2]), (5, other[3]), (5, other[4]), (5, other[5]), (8, other[5]), (9, other[6])]
+    out = stages.drop_near_duplicates(spark.createDataFrame(have, "doc_id long, text string").repartition(3))
+    assert sorted(rows(out), key=str) == sorted(set(have) - {(8, other[5])}, key=str)
