@@ -335,7 +335,9 @@ def repeated_windows(docs: DataFrame, rule: Rule, id_col: str = "doc_id", text_c
     found = keyed(docs, id_col, text_col).mapInArrow(_find(rule, routes), ROUTED)
     met = stored(dealt(found).mapInArrow(_meet(rule, routes), ROUTED), "met")
     opened = met.where(F.col("kind") == OPEN).groupBy("ord", "h").agg(F.collect_list("data").alias("open"))
-    fetched = packed_texts(docs, id_col, text_col).join(opened, ["ord", "h"]).mapInArrow(_fetch(rule, routes), ROUTED)
+    # Repeated rows give the same contexts: one of them stands for all, else they would find each other as earlier places.
+    texts = packed_texts(docs, id_col, text_col).join(opened, ["ord", "h"]).dropDuplicates(["ord", "h"])
+    fetched = texts.mapInArrow(_fetch(rule, routes), ROUTED)
     solved = dealt(fetched).mapInArrow(_resolve(rule, routes), ROUTED)
     settled = met.where(F.col("kind") == SETTLED).unionByName(solved)
     return settled.groupBy("ord", "h").agg(F.collect_list("data").alias("ranges"))

@@ -169,3 +169,15 @@ def test_near_stage_keeps_texts_that_share_an_id(spark):
     have = [(None, other[0]), (None, other[1]), (None, other[2]), (None, other[2]), (5, other[3]), (5, other[4]), (5, other[5]), (8, other[5]), (9, other[6])]
     out = stages.drop_near_duplicates(spark.createDataFrame(have, "doc_id long, text string").repartition(3))
     assert sorted(rows(out), key=str) == sorted(set(have) - {(8, other[5])}, key=str)
+
+
+def test_repeated_rows_that_share_a_phrase(spark):
+    """Rows that repeat an id and text lose what stands in an earlier document, and nothing for one another."""
+    def text(k, n=40):
+        return " ".join(hashlib.sha256(f"{k} {i}".encode()).hexdigest()[:6] for i in range(n))
+
+    phrase, shared = text("phrase", 10), text("shared", 30)  # 69 and 209 bytes
+    have = [(2, text(1) + phrase + text(2))] * 3 + [(3, text(3) + phrase + shared)] + [(4, text(4) + phrase + text(5) + shared + text(6))] * 2
+    df = spark.createDataFrame(have, "doc_id long, text string").repartition(3)
+    got = sorted(rows(suffix.as_contract(suffix.remove_repeats(df)).select("doc_id", "n_bytes", "n_removed", "n_spans")))
+    assert got == sorted((d, len(t), 209 if d == 4 else 0, int(d == 4)) for d, t in have)
