@@ -7,7 +7,8 @@ per tag, adjusted for link text: dividing by links raises nodes with few of
 them. The subtree whose children have the largest sum of densities holds the
 article. The smallest density on its path from the body is the threshold: the
 siblings along that path that reach it belong to the article too, and link
-lists inside that stay below it don't.
+lists inside that stay below it don't. Only whole lists and boxes of links are
+such; a linked heading, paragraph, table cell or word in a sentence stays.
 
 Defined results: NULL, empty and tag-only pages give the empty text; plain text
 without tags is one block; repeated rows and NULL ids get their own rows; an
@@ -42,6 +43,10 @@ _IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
             "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
             "option": ({"option"}, {"select"})}
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: What may be a list of links, its items, and what belongs to the article even if all of it is linked.
+_BOXES = frozenset("ul ol dl menu div section center details".split())
+_ITEMS = frozenset("li dt dd".split())
+_WHOLE = _HEADINGS | frozenset("td th caption blockquote pre figure figcaption address".split())
 _ATTR = re.compile(r"""(?i)(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 #: Words of class, id and role that mark what surrounds an article.
 _NOISE = frozenset(
@@ -143,6 +148,23 @@ class _Page:
         self.head = head
 
 
+def _link_lists(page: _Page, in_link: list[bool], chars: list[int], link: list[int], link_tags: list[int]) -> list[bool]:
+    """Which nodes are lists or boxes of nothing but links, two at least: no heading, cell or sentence in them."""
+    whole, loose = [False] * len(page.tag), [False] * len(page.tag)
+    for node, text in page.pieces:
+        if text and not in_link[node] and not loose[node]:
+            loose[node] = any(map(str.isalnum, text))
+    for i in range(len(page.tag) - 1, 0, -1):
+        if not page.cut[i] and chars[i]:
+            p, t = page.parent[i], page.tag[i]
+            whole[i] |= t in _WHOLE
+            loose[i] &= t not in _ITEMS or 2 * link[i] <= chars[i]  # a link and some words are an item of a link list too
+            whole[p] |= whole[i]
+            loose[p] |= loose[i]
+    return [t in _BOXES and not w and not x and k > 1 and 2 * l > c
+            for t, w, x, k, l, c in zip(page.tag, whole, loose, link_tags, link, chars)]
+
+
 def _density(chars: int, tags: int, link_chars: int, link_tags: int, body_ratio: float) -> float:
     """Composite text density: characters per tag, times a logarithm that falls as links take over."""
     if not chars:
@@ -190,12 +212,12 @@ def extract(source: str) -> str:
             break
     keep = [False] * n
     keep[path[0]] = True
-    on_path, top = set(path), path[0]
+    on_path, top, listed = set(path), path[0], _link_lists(page, in_link, chars, link, link_tags)
     marked_up = page.tag[top] in ("article", "main")
     for i in range(1, n):
         p = page.parent[i]
         if keep[p]:
-            keep[i] = not (density[i] < threshold and 2 * link[i] > chars[i] and page.tag[i] not in ("a", "p"))
+            keep[i] = not (density[i] < threshold and listed[i])
         elif not marked_up and p in on_path and i not in on_path:
             keep[i] = density[i] >= threshold and 2 * link[i] <= chars[i] and chars[i] > 0
         elif marked_up and page.tag[i] == "article" and p in on_path:

@@ -181,3 +181,26 @@ def test_repeated_rows_that_share_a_phrase(spark):
     df = spark.createDataFrame(have, "doc_id long, text string").repartition(3)
     got = sorted(rows(suffix.as_contract(suffix.remove_repeats(df)).select("doc_id", "n_bytes", "n_removed", "n_spans")))
     assert got == sorted((d, len(t), 209 if d == 4 else 0, int(d == 4)) for d, t in have)
+
+
+SENTENCE = "A paragraph of the article, long enough to be told from menus and the like, without any link in it."
+
+
+@pytest.mark.parametrize("part, want", [
+    ("<h2><a href=x>A linked heading</a></h2>", "A linked heading"),
+    ("<p>See <em><a href=x>the whole report</a></em></p>", "See the whole report"),
+    ("<p>See <b><a href=x>the whole report</a></b> and <span><a href=y>its annex</a></span><sup><a href=z>1</a></sup></p>", "See the whole report and its annex1"),
+    ("<p>See <strong><a href=x>one report</a></strong></p><p>and <strong><a href=x>another one</a></strong></p>", "See one report\n\nand another one"),
+    ("<div><p>See <em><a href=x>one report</a></em></p><p>and <em><a href=x>another one</a></em></p></div>", "See one report\n\nand another one"),
+    ("<div>See <em><a href=x>one report</a></em> and <em><a href=x>another one</a></em></div>", "See one report and another one"),
+    ("<ul><li>Bread, which is baked in the oven for some time</li><li><a href=x>Butter</a></li></ul>", "Bread, which is baked in the oven for some time\n\nButter"),
+    ("<table><tr><td><a href=x>Paris</a></td><td><a href=y>France</a></td></tr></table>", "Paris\n\nFrance"),
+    ("<div><h3><a href=x>One part</a></h3><h3><a href=y>Other part</a></h3></div>", "One part\n\nOther part"),
+    ("<ul><li><a href=x>One more page</a></li><li><a href=y>Other page</a></li></ul>", ""),
+    ("<ul><li><a href=x>One more page</a> (2020)</li><li><a href=y>Other page</a> (2021)</li></ul>", ""),
+    ("<div><a href=x>One more page</a> | <a href=y>Other page</a></div>", ""),
+])
+@pytest.mark.parametrize("wrap", ["<article>%s</article>", "<div>%s</div>"])
+def test_links_inside_the_article(part, want, wrap):
+    page = wrap % f"<h1>Title</h1><p>{SENTENCE}</p><p>{SENTENCE}</p>{part}<p>{SENTENCE}</p>"
+    assert html_text.extract(page) == "\n\n".join(x for x in ("Title", SENTENCE, SENTENCE, want, SENTENCE) if x)
