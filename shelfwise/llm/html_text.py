@@ -2,7 +2,9 @@
 
 The page is read into a small DOM (unclosed and stray tags as browsers take
 them). Subtrees that never hold article text (menus, forms, scripts, adverts,
-comments of readers, ...) are cut off. Each node's density is its characters
+comments of readers, ...) are cut off; a class name, id, role or form doesn't cut
+what holds the page's main element, largest article, heading or most of its
+unlinked text. Each node's density is its characters
 per tag, adjusted for link text: dividing by links raises nodes with few of
 them. The subtree whose children have the largest sum of densities holds the
 article. The smallest density on its path from the body is the threshold: the
@@ -20,6 +22,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -54,18 +57,26 @@ _NOISE = frozenset(
     " cookies consent gdpr notice notices alert disclaimer sidebar rail widget nav navbar navigation menu breadcrumb breadcrumbs pagination pager"
     " comment comments commentlist disqus respond replies share sharing social related recommended recommendations newsletter subscribe"
     " subscription signup login search toolbar footer masthead complementary contentinfo dialog skip tags toc".split())
+#: First words of class names that tell of the page's state or subject ("has-sidebar", "tag-search"), not of the node.
+_STATE = frozenset("has have no not with without is tag category cat topic format layout".split())
+#: Readers' comments may be longer than the article.
+_REPLIES = frozenset("comment comments commentlist disqus respond replies".split())
 _HIDDEN = re.compile(r"(?i)display\s*:\s*none|visibility\s*:\s*hidden")
 
 
-def _noise(attrs: str) -> bool:
+def _marks(attrs: str) -> tuple[set[str], bool]:
+    """The words of ``_NOISE`` that a class name, id or role begins or ends with; and whether the node is hidden."""
+    words, hidden = set(), False
     for key, a, b, c in _ATTR.findall(attrs):
         key, value = key.lower(), (a or b or c)
         if key in ("class", "id", "role"):
-            if not _NOISE.isdisjoint(re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value).lower())):
-                return True
+            for name in value.split():
+                parts = [x for x in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()) if x]
+                if parts and parts[0] not in _STATE:
+                    words.update(_NOISE.intersection((parts[0], parts[-1])))
         elif key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and _HIDDEN.search(value):
-            return True
-    return False
+            hidden = True
+    return words, hidden
 
 
 class _Page:
@@ -74,6 +85,8 @@ class _Page:
     def __init__(self, source: str):
         self.parent, self.tag, self.cut = [-1], ["body"], [False]
         self.pieces: list[tuple[int, str | None]] = []  # (node, text), or (node, None): a block boundary
+        self.named: dict[int, set[str]] = {}  # nodes that their name or form marks, unless they hold the article
+        replies = set()  # articles that are readers' comments and the like
         stack, opened, at = [0], {"body": 1}, 0
 
         def close(n):
@@ -124,7 +137,14 @@ class _Page:
             node = len(self.tag)
             self.parent.append(stack[-1])
             self.tag.append(name)
-            self.cut.append(self.cut[stack[-1]] or name in _CUT or bool(attrs) and name not in ("a", "article", "main") and _noise(attrs))
+            marks, hidden = _marks(attrs) if attrs and name not in ("a", "main") else (set(), False)
+            if name == "article":
+                if marks:
+                    replies.add(node)
+                marks, hidden = set(), False
+            if marks or name in ("form", "fieldset"):
+                self.named[node] = marks
+            self.cut.append(self.cut[stack[-1]] or hidden or name in _CUT and name not in ("form", "fieldset"))
             if name in _RAW:  # their content isn't markup
                 end = re.compile(rf"(?i)</{re.escape(name)}(?=[\s/>])[^>]*+>?").search(source, at)
                 if end or name not in ("svg", "math", "object", "noscript", "template"):
@@ -133,8 +153,50 @@ class _Page:
             if not attrs.rstrip().endswith("/") or name in _BLOCK or name == "a":
                 stack.append(node)
                 opened[name] = opened.get(name, 0) + 1
+        self._cut_named(replies)
         self._headers()
 
+    def _cut_named(self, replies: set[int]):
+        """Cut what ``named`` marks, except where the article would go with it."""
+        if not self.named:
+            return
+        n = len(self.tag)
+        in_link, chars = [False] * n, [0] * n
+        for i in range(1, n):
+            in_link[i] = in_link[self.parent[i]] or self.tag[i] == "a"
+        for node, text in self.pieces:
+            if text and not self.cut[node] and not in_link[node]:
+                chars[node] += len("".join(text.split()))
+        last = list(range(n))  # the last node below
+        for i in range(n - 1, 0, -1):
+            chars[self.parent[i]] += chars[i]
+            last[self.parent[i]] = max(last[self.parent[i]], last[i])
+        live = [i for i in range(1, n) if not self.cut[i]]
+        articles = [i for i in live if self.tag[i] == "article" and i not in replies and chars[i]]
+        strong, titles = [False] * n, [False] * n
+        if articles:
+            strong[max(articles, key=lambda i: (chars[i], -i))] = True
+        banner = [False] * n  # in a page header
+        for i in range(1, n):
+            banner[i] = self.tag[i] not in ("article", "main") and (banner[self.parent[i]] or self.tag[i] == "header")
+        for i in live:
+            strong[i] |= self.tag[i] == "main" and chars[i] > 0
+            titles[i] = self.tag[i] == "h1" and not banner[i]
+        strong_before, titles_before = [0, *accumulate(strong)], [0, *accumulate(titles)]
+        above = [0] * n  # strong nodes that hold this one
+        for i in range(1, n):
+            above[i] = above[self.parent[i]] + strong[self.parent[i]]
+        for i, marks in self.named.items():
+            inside = strong_before[last[i] + 1] - strong_before[i]
+            elsewhere = strong_before[n] - inside - above[i]
+            title = titles_before[last[i] + 1] - titles_before[i]
+            most = 2 * chars[i] > chars[0]
+            if not _REPLIES.isdisjoint(marks):
+                most = most and not (strong_before[n] or titles_before[n])
+            self.cut[i] = self.cut[i] or not (inside or (title or most) and not elsewhere)
+        for i in range(1, n):
+            self.cut[i] = self.cut[i] or self.cut[self.parent[i]]
+
     def _headers(self):
         """A header keeps its headings if it stands inside an article, else it goes wholly."""
         inside = [False] * len(self.tag)

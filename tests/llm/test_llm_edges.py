@@ -204,3 +204,34 @@ SENTENCE = "A paragraph of the article, long enough to be told from menus and th
 def test_links_inside_the_article(part, want, wrap):
     page = wrap % f"<h1>Title</h1><p>{SENTENCE}</p><p>{SENTENCE}</p>{part}<p>{SENTENCE}</p>"
     assert html_text.extract(page) == "\n\n".join(x for x in ("Title", SENTENCE, SENTENCE, want, SENTENCE) if x)
+
+
+@pytest.mark.parametrize("wrap", [
+    '<div class="site has-sidebar"><article>%s</article></div>', '<div class="content-sidebar-wrap"><main>%s</main></div>',
+    '<div class="layout no-sidebar"><div>%s</div></div>', '<div class="hentry no-comments">%s</div>', '<div class="post tag-search">%s</div>',
+    '<form id=aspnetForm action=x><div>%s</div></form>', '<form><div class="page"><article>%s</article></div></form>',
+    '<div class="sidebar-content"><article>%s</article></div>', '<div class="content sidebar">%s</div>', '<div class="page-menu"><div class="widget"><main>%s</main></div></div>',
+])
+@pytest.mark.parametrize("title", ["<h1>Title</h1>", "<h2>Title</h2>"])
+def test_wrappers_named_like_noise(wrap, title):
+    around = ('<header><h1>Site</h1></header>%s<div class="sidebar"><article class=teaser><h3>Other</h3><p>A teaser.</p></article></div>'
+              '<div class="comments-area"><p>A reader wrote this.</p></div><div class="related-posts"><p>More of it.</p></div><form><label>Mail</label></form>')
+    page = around % (wrap % f"{title}<p>{SENTENCE}</p><p>{SENTENCE}</p>")
+    if "<article>" not in wrap and "<main>" not in wrap:  # without them a teaser counts as the page's article
+        page = page.replace("<article class=teaser>", "<div>").replace("</article>", "</div>")
+    assert html_text.extract(page) == f"Title\n\n{SENTENCE}\n\n{SENTENCE}"
+
+
+def test_many_named_nodes_in_a_page():
+    page = f"<main><h1>Title</h1><p>{SENTENCE}</p></main>" + '<form><h1>x</h1></form><div class="ad">y</div>' * 20_000
+    assert html_text.extract(page) == f"Title\n\n{SENTENCE}"
+
+
+def test_long_comments_are_still_cut():
+    reply = f'<article class="comment-body"><p>{SENTENCE}</p></article>'
+    for post in ("<article><h1>Title</h1><p>Short, but it is the article of this page.</p></article>",
+                 "<div><h1>Title</h1><p>Short, but it is the article of this page.</p></div>",
+                 "<main><h1>Title</h1><p>Short, but it is the article of this page.</p></main>"):
+        for section in ('<section id="comments">', '<div class="comments-area">', '<div class="comment-list">'):
+            page = f"{post}{section}{reply * 9}</section></div>"
+            assert html_text.extract(page) == "Title\n\nShort, but it is the article of this page."
