@@ -1,8 +1,8 @@
 """Helpers shared by the text operators: stored intermediates, Arrow views, row keys.
 
 Row keys. A document row is named inside the operators by ``(ord, h)``: ``ord``
-is its id (a NULL id sorts after all others: the largest long), ``h`` a 32-bit
-hash of its text. Rows that share both are repeats of one another and get the
+is its id (a NULL id sorts after all others: the largest long), ``h`` a 64-bit
+hash of its text, as a signed long. Rows that share both are repeats of one another and get the
 same answer.
 """
 
@@ -57,7 +57,7 @@ def clean_text(text: Column) -> Column:
 
 
 def text_hash(text: Column) -> Column:
-    return F.xxhash64(clean_text(text)).bitwiseAND(F.lit(0xFFFFFFFF))
+    return F.xxhash64(clean_text(text))
 
 
 def ordinal(doc_id: Column) -> Column:

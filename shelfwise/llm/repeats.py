@@ -45,7 +45,7 @@ ROUTES_PER_PARTITION = 2
 ROUTED = "route int, kind int, ord long, h long, data binary"
 SETTLED, BY_ANCHOR, BY_CONTEXT, OPEN = range(4)
 
-ANCHOR = np.dtype([("a", "<u8"), ("c", "<u8"), ("ord", "<i8"), ("h", "<u4"), ("at", "<u4"), ("off", "u1"), ("n", "u1")])
+ANCHOR = np.dtype([("a", "<u8"), ("c", "<u8"), ("ord", "<i8"), ("h", "<i8"), ("at", "<u4"), ("off", "u1"), ("n", "u1")])
 OPENED = np.dtype([("a", "<u8"), ("at", "<u4"), ("off", "u1"), ("n", "u1"), ("hot", "u1")])
 RANGE = np.dtype([("at", "<u4"), ("n", "<u4")])
 
@@ -241,7 +241,7 @@ def _meet(rule: Rule, routes: int):
             is_open = hot | (count > 1)
             more, other = settle(_join_blobs(group, BY_CONTEXT, ANCHOR), rule.within)
             opened = np.concatenate([rest[is_open], other])
-            sent = np.empty(len(opened), np.dtype([*OPENED.descr, ("ord", "<i8"), ("h", "<u4")]))
+            sent = np.empty(len(opened), np.dtype([*OPENED.descr, ("ord", "<i8"), ("h", "<i8")]))
             for name in ("a", "at", "off", "n", "ord", "h"):
                 sent[name] = opened[name]
             sent["hot"] = np.concatenate([hot[is_open] | (count[is_open] > rule.group_limit), np.ones(len(other), bool)])

@@ -37,7 +37,7 @@ class Words:
     def __init__(self, rule: Rule):
         self.left = rule.width - 1
         self.size = self.left + rule.length
-        self.dtype = np.dtype([("a", "<u8"), ("ord", "<i8"), ("h", "<u4"), ("at", "<u4"), ("off", "u1"), ("n", "u1"), ("w", "<u8", (self.size,))])
+        self.dtype = np.dtype([("a", "<u8"), ("ord", "<i8"), ("h", "<i8"), ("at", "<u4"), ("off", "u1"), ("n", "u1"), ("w", "<u8", (self.size,))])
         self.length = rule.length
 
     def take(self, view: View, rows: np.ndarray, ord_: int, h: int) -> np.ndarray:
@@ -80,10 +80,10 @@ def extend(rule: Rule, rows: np.ndarray) -> np.ndarray:
         place = own["at"].astype(np.int64) + own["off"]
         start = np.maximum(place - before, own["at"])
         stop = np.minimum(place + after - rule.length, own["at"].astype(np.int64) + own["n"] - 1)
-        some = np.empty(len(later), np.dtype([("ord", "<i8"), ("h", "<u4"), ("at", "<u4"), ("n", "<u4")]))
+        some = np.empty(len(later), np.dtype([("ord", "<i8"), ("h", "<i8"), ("at", "<u4"), ("n", "<u4")]))
         some["ord"], some["h"], some["at"], some["n"] = own["ord"], own["h"], start, np.maximum(stop - start + 1, 0)
         out.append(some[stop >= start])
-    return np.concatenate(out) if out else np.zeros(0, [("ord", "<i8"), ("h", "<u4"), ("at", "<u4"), ("n", "<u4")])
+    return np.concatenate(out) if out else np.zeros(0, [("ord", "<i8"), ("h", "<i8"), ("at", "<u4"), ("n", "<u4")])
 
 
 def rule(length: int = WINDOW, seed: int = SEED) -> Rule:

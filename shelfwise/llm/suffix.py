@@ -37,7 +37,7 @@ class Bytes:
     def __init__(self, rule: Rule):
         self.size = rule.width - 1 + rule.length
         self.length = rule.length
-        self.dtype = np.dtype([("a", "<u8"), ("ord", "<i8"), ("h", "<u4"), ("at", "<u4"), ("off", "u1"), ("n", "u1"), ("b", "u1", (self.size,))])
+        self.dtype = np.dtype([("a", "<u8"), ("ord", "<i8"), ("h", "<i8"), ("at", "<u4"), ("off", "u1"), ("n", "u1"), ("b", "u1", (self.size,))])
 
     def take(self, view: View, rows: np.ndarray, ord_: int, h: int) -> np.ndarray:
         out = np.zeros(len(rows), self.dtype)
@@ -106,7 +106,7 @@ def earlier_matches(rule: Rule, rows: np.ndarray) -> np.ndarray:
     order, common = suffix_order(rows["b"].ravel(), row * size + shift, rule.length)
     lpf = longest_previous(order, common)  # suffixes are numbered in text order
     again = np.sort(order[lpf >= rule.length])
-    out = np.empty(len(again), np.dtype([("ord", "<i8"), ("h", "<u4"), ("at", "<u4"), ("n", "<u4")]))
+    out = np.empty(len(again), np.dtype([("ord", "<i8"), ("h", "<i8"), ("at", "<u4"), ("n", "<u4")]))
     out["ord"], out["h"], out["at"], out["n"] = rows["ord"][row[again]], rows["h"][row[again]], rows["at"][row[again]] + shift[again], 1
     return out
 

@@ -235,3 +235,14 @@ def test_long_comments_are_still_cut():
         for section in ('<section id="comments">', '<div class="comments-area">', '<div class="comment-list">'):
             page = f"{post}{section}{reply * 9}</section></div>"
             assert html_text.extract(page) == "Title\n\nShort, but it is the article of this page."
+
+
+def test_texts_without_id_are_not_taken_for_repeats(spark):
+    """Two texts whose hashes agree in the low 32 bits, by stages that drop one of them."""
+    a, b = (f"text number {i} of the collision search" for i in (12777, 21204))
+    df = spark.createDataFrame([(None, a), (None, b), (1, b)], "doc_id long, text string")
+    hashes = [r[0] for r in df.limit(2).select(F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFFFF))).collect()]
+    assert hashes[0] == hashes[1]
+    left = stages.drop_contaminated(df, spark.createDataFrame([("x", a)], "item_id string, text string"))
+    assert sorted(rows(left), key=str) == sorted([(None, b), (1, b)], key=str)
+    assert sorted(rows(stages.drop_exact_duplicates(df)), key=str) == sorted([(None, a), (1, b)], key=str)
