@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm import (decontaminate, exact_dedup, html_text, packing, quality, simhash, stages, substring, suffix,
                            toxicity, warc)
+from shelfwise.llm.labelled import sample
 from shelfwise.llm.queries import tokenizer_path
 
 LONG = " ".join(f"w{i % 977}x{i % 31}" for i in range(40_000))
@@ -246,3 +247,15 @@ def test_texts_without_id_are_not_taken_for_repeats(spark):
     left = stages.drop_contaminated(df, spark.createDataFrame([("x", a)], "item_id string, text string"))
     assert sorted(rows(left), key=str) == sorted([(None, b), (1, b)], key=str)
     assert sorted(rows(stages.drop_exact_duplicates(df)), key=str) == sorted([(None, a), (1, b)], key=str)
+
+
+def test_sample_is_filled_with_texts_that_fit(spark):
+    """Long texts, labels without a text and repeated rows take no place of the sample."""
+    long, ids = "too long " * 20, [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2]
+    have = [(i, f"{long}{i}") for i in ids[:60]] + [(i, f"{i} short {i * 7}") for i in ids[60:66]] * 9 + [(i, f"{i} clean") for i in ids[66:80]]
+    marked = [(i, 1) for i in [*ids[:66], *ids[100:200]]] + [(i, 0) for i in ids[66:80]]
+    df, labels = spark.createDataFrame(have, "doc_id long, text string"), spark.createDataFrame(marked, "doc_id long, toxic int")
+    texts, ys, _ = sample(df, labels, "toxic", 4, 2, rows_per_label=6, max_chars=50)
+    assert {t.decode() for t, y in zip(texts, ys) if y} == {t for _, t in have if "short" in t} and list(ys).count(0) == 6
+    with pytest.raises(ValueError, match="toxic"):
+        sample(df.where("NOT text LIKE '%short%'"), labels, "toxic", 4, 2, max_chars=50)
