@@ -13,7 +13,7 @@ anchor owns a run of windows, whose text is the anchor's context.
    An anchor with many contexts in one task is marked hot; its rows meet by
    context instead, so no task gathers them.
 3. Open contexts are fetched from their documents and resolved: up to
-   ``group_limit`` contexts of an anchor by the operator's own method, the
+   ``group_limit`` rows of an anchor by the operator's own method, the
    others window by window, by hash of the window and its anchor.
 
 Every step answers with ranges of repeated windows per document. "Earlier" is
@@ -189,6 +189,13 @@ def _contexts_per_anchor(rows: np.ndarray) -> np.ndarray:
     return np.repeat(np.add.reduceat(new_c.astype(np.int64), head), np.diff(np.concatenate([head, [len(rows)]])))
 
 
+def _rows_per_anchor(rows: np.ndarray) -> np.ndarray:
+    """For rows ordered by anchor: how many rows the row's anchor has."""
+    head = np.flatnonzero(np.concatenate([[True], rows["a"][1:] != rows["a"][:-1]])) if len(rows) else np.zeros(0, np.int64)
+    size = np.diff(np.concatenate([head, [len(rows)]]))
+    return np.repeat(size, size) if len(rows) else np.zeros(0, np.int64)
+
+
 def _find(rule: Rule, routes: int):
     def flush(held: list[np.ndarray]) -> pa.RecordBatch:
         repeated, rest = settle(np.concatenate(held), rule.within)
@@ -244,7 +251,8 @@ def _meet(rule: Rule, routes: int):
             sent = np.empty(len(opened), np.dtype([*OPENED.descr, ("ord", "<i8"), ("h", "<i8")]))
             for name in ("a", "at", "off", "n", "ord", "h"):
                 sent[name] = opened[name]
-            sent["hot"] = np.concatenate([hot[is_open] | (count[is_open] > rule.group_limit), np.ones(len(other), bool)])
+            many = _rows_per_anchor(rest) > rule.group_limit  # a context that its document repeats has several rows
+            sent["hot"] = np.concatenate([hot[is_open] | many[is_open], np.ones(len(other), bool)])
             out += _by_document(np.concatenate([repeated, more]), SETTLED, routes, RANGE)
             out += _by_document(sent, OPEN, routes, OPENED)
             if out:

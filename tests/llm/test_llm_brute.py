@@ -405,3 +405,18 @@ def test_pipeline(spark):
 def test_keyed_orders_null_ids_last(spark):
     rows = keyed(spark.createDataFrame([(None, None), (1, "a")], "doc_id long, text string")).collect()
     assert sorted(r["ord"] for r in rows) == [1, 2 ** 63 - 1] and {r["text"] for r in rows} == {"", "a"}
+
+
+def test_repeated_line_is_not_paired_with_itself():
+    """A line that one document repeats often has many rows of few contexts: they aren't all paired."""
+    line = " ".join(f"w{i}" for i in range(9))
+    rows = [(0, (" ".join([line] * 300) + " a b c d e f").encode()), (1, f"x y z {line} {line} u v".encode())]
+    sizes = []
+
+    def resolve(rule, group):
+        sizes.extend(np.unique(group["a"], return_counts=True)[1].tolist())
+        return substring.extend(rule, group)
+
+    rule = repeats.Rule(**{**substring.rule(5, 2).__dict__, "resolve": resolve})
+    assert frame_in_process(rows, rule) == windows_brute(rows, True, 5, False)
+    assert max(sizes, default=0) <= rule.group_limit
