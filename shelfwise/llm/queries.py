@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import (decontaminate, exact_dedup, html_text, packing, quality, simhash, substring, suffix,
-                           toxicity, warc)
+from shelfwise.llm import (decontaminate, exact_dedup, fill_middle, html_text, line_rules, packing, prefix_trie, quality,
+                           simhash, substring, suffix, toxicity, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,9 +61,23 @@ def op10_suffix_dedup(spark, sf_dir):
     return suffix.as_contract(suffix.remove_repeats(_table(spark, sf_dir, "documents")))
 
 
+def op11_prefix_trie(spark, sf_dir):
+    turns = _table(spark, sf_dir, "conversations")
+    return prefix_trie.as_contract(prefix_trie.prefix_trie(prefix_trie.rebuilt(prefix_trie.sequences(turns))))
+
+
+def op12_fill_middle(spark, sf_dir):
+    return fill_middle.as_contract(fill_middle.fill_in_middle(_table(spark, sf_dir, "documents")))
+
+
+def op13_line_rules(spark, sf_dir):
+    return line_rules.as_contract(line_rules.judge(_table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_exact_dedup, op2_quality, op3_simhash, op4_decontaminate, op5_toxicity, op6_warc,
-                                    op7_packing, op8_html_text, op9_substring_dedup, op10_suffix_dedup)}
+                                    op7_packing, op8_html_text, op9_substring_dedup, op10_suffix_dedup, op11_prefix_trie,
+                                    op12_fill_middle, op13_line_rules)}
 
 
 _BLANK = r"[\x20\x09-\x0D]"
@@ -137,7 +151,85 @@ FROM d LEFT JOIN kept USING (doc_id)
 """
 
 
+_OP11 = r"""
+WITH t AS (
+  SELECT conv_id AS c, turn, substr(sha256(length(r) || ':' || r || x), 1, 32) AS dg, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS w
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)),
+own AS (SELECT c, list({'dg': dg, 'w': w} ORDER BY turn NULLS FIRST, dg, w) AS s FROM t GROUP BY c),
+drawn AS (
+  SELECT c, s, c - c % 20 AS b, xor(list_reduce(
+    flatten(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda ch: [CAST(ord(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda a, e: CASE WHEN e >= 0 THEN xor(a, e) ELSE xor(a >> 1, 3988292384 * (a & 1)) END, CAST(4294967295 AS BIGINT)), 4294967295) % 4 AS h
+  FROM own),
+rb AS (
+  SELECT a.c, CASE WHEN o.c IS NULL THEN a.s[a.h + 1:] ELSE list_concat(o.s[1:a.h], a.s[a.h + 1:]) END AS s
+  FROM drawn a LEFT JOIN own o ON o.c = a.b),
+p AS (
+  SELECT c, d, md5(array_to_string(list_transform(s[1:d], lambda z: z.dg), ',')) AS k, coalesce(s[d].w, 0) AS w, d = len(s) AS ends
+  FROM rb, unnest(range(0, len(s) + 1)) u(d)),
+nodes AS (
+  SELECT k, d, min(c) AS conv_id, count(*) AS n_convs, max(w) AS w, sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM p GROUP BY k, d),
+up AS (SELECT n.k, q.k AS parent FROM nodes n JOIN p q ON q.c = n.conv_id AND q.d = n.d - 1),
+kids AS (SELECT parent AS k, count(*) AS n_children FROM up GROUP BY parent),
+whole AS (
+  SELECT a.k, CAST(sum(CASE WHEN kids.k IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves, CAST(sum((n.n_convs - 1) * n.w) AS BIGINT) AS saved_tokens
+  FROM nodes n JOIN p a ON a.c = n.conv_id AND a.d <= n.d LEFT JOIN kids ON kids.k = n.k GROUP BY a.k)
+SELECT n.conv_id, n.d AS depth, q.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM nodes n JOIN whole USING (k) LEFT JOIN kids USING (k) LEFT JOIN up USING (k) LEFT JOIN nodes q ON q.k = up.parent
+"""
+
+_OP12 = r"""
+WITH u AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS u, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hx
+  FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
+h AS (
+  SELECT *, CAST(len(u) AS BIGINT) AS n, list_transform(range(0, 4), lambda j: CAST(CAST('0x' || substr(hx, 8 * j + 1, 8) AS UBIGINT) AS BIGINT)) AS h FROM u),
+c AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 100 THEN 'plain'
+              WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM h),
+x AS (
+  SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS pre, coalesce(array_to_string(u[a + 1:b], ''), '') AS mid, coalesce(array_to_string(u[b + 1:], ''), '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM x
+"""
+
+_OP13 = rf"""
+WITH d AS (
+  SELECT doc_id, source, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, string_split(t, chr(10)) AS l
+  FROM (SELECT doc_id, source, coalesce(text, '') AS t FROM documents)),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 2], ' ') AS g FROM d, unnest(range(1, len(w) - 1)) u(i)),
+r AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+again AS (SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words FROM r, unnest(range(0, 3)) u(j) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, source, t, line, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_BLANK}+', ' ', 'g')) AS norm
+  FROM (SELECT doc_id, source, t, unnest(l) AS line FROM d)),
+worded AS (SELECT * FROM lines WHERE norm <> ''),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM worded GROUP BY doc_id),
+hosts AS (SELECT source, count(DISTINCT t) AS host_docs FROM worded GROUP BY source),
+often AS (
+  SELECT f.source, norm FROM (SELECT source, norm, count(DISTINCT t) AS n_docs FROM worded GROUP BY source, norm) f
+  JOIN hosts h ON h.source IS NOT DISTINCT FROM f.source WHERE n_docs > 10 AND n_docs > 0.05 * host_docs),
+lost AS (
+  SELECT doc_id, CAST(sum(len(string_split(worded.norm, ' '))) AS BIGINT) AS lost
+  FROM worded JOIN often ON often.norm = worded.norm AND often.source IS NOT DISTINCT FROM worded.source GROUP BY doc_id),
+m AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(lost, 0) AS n_frequent_words
+  FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN again USING (doc_id) LEFT JOIN lost USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT (n_words - n_frequent_words < 0.5 * n_words) AS kept
+FROM m
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The other operators have none: fitted models, page markup, tokenizers, XXH64 and byte strings aren't in SQL;
     ``tests/llm`` holds them against brute force."""
-    return {"op1_exact_dedup": _OP1, "op4_decontaminate": _OP4, "op6_warc": _OP6, "op9_substring_dedup": _OP9}
+    return {"op1_exact_dedup": _OP1, "op4_decontaminate": _OP4, "op6_warc": _OP6, "op9_substring_dedup": _OP9,
+            "op11_prefix_trie": _OP11, "op12_fill_middle": _OP12, "op13_line_rules": _OP13}
