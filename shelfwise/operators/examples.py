@@ -12,7 +12,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FEATURE_RENAMES = (
@@ -35,9 +35,14 @@ def complete_features(item_features: DataFrame) -> DataFrame:
     return item_features.where(cond).select("item_id", *[F.col(a).alias(b) for a, b in FEATURE_RENAMES])
 
 
+def _carried(examples: DataFrame) -> list[str]:
+    """Columns that pass through where the examples have them: the split, and the place of the row in its source."""
+    return [c for c in ("split", "seq") if c in examples.columns]
+
+
 def text_examples(examples: DataFrame, texts: DataFrame) -> DataFrame:
-    """``user_id, item_id, label, user_genres, item_genre, item_text[, split]``."""
-    extra = ["split"] if "split" in examples.columns else []
+    """``user_id, item_id, label, user_genres, item_genre, item_text[, split][, seq]``."""
+    extra = _carried(examples)
     return examples.join(non_empty_texts(texts), "item_id").select(
         "user_id", "item_id", "label", "user_genres", "item_genre", "item_text", *extra
     )
@@ -45,7 +50,7 @@ def text_examples(examples: DataFrame, texts: DataFrame) -> DataFrame:
 
 def structured_examples(examples: DataFrame, item_features: DataFrame) -> DataFrame:
     """Examples of complete items with ``item_author/series/publisher/subject``."""
-    extra = ["split"] if "split" in examples.columns else []
+    extra = _carried(examples)
     ex = examples.where(F.col("item_genre") != "")
     return ex.join(complete_features(item_features), "item_id").select(
         "user_id", "item_id", "label", "user_genres", "item_genre",
@@ -63,6 +68,12 @@ def ranking_candidates_structured(test_examples: DataFrame, item_features: DataF
     return structured_examples(test_examples.drop("split"), item_features).drop("label")
 
 
-def candidates_for_user(candidates: DataFrame, user_id: int) -> DataFrame:
-    """One user's candidates (the per-user API of the original)."""
-    return candidates.where(F.col("user_id") == F.lit(user_id))
+def candidates_for_user(candidates: DataFrame, user_id: int | Column) -> DataFrame:
+    """One user's candidates (the per-user API of the original); the user may come from a scalar subquery."""
+    return candidates.where(F.col("user_id") == (user_id if isinstance(user_id, Column) else F.lit(user_id)))
+
+
+def busiest_user(candidates: DataFrame) -> Column:
+    """The user with the most candidates, of several the smallest id, as a scalar subquery."""
+    counts = candidates.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(F.max_by("user_id", F.struct("n", -F.col("user_id")))).scalar()

@@ -97,7 +97,8 @@ def training_prompts(examples: DataFrame, runs: Iterable[PromptRun], kind: str,
 
 def ranking_prompts(candidates: DataFrame, runs: Iterable[PromptRun], kind: str,
                     cold_start: tuple[str, str] = COLD_START) -> DataFrame:
-    """``run_name, user_id, item_id, prompt, word_pos`` (no label)."""
+    """``run_name, user_id, item_id, prompt, word_pos[, seq]`` (no label)."""
     runs = [r for r in runs if r.kind == kind]
+    extra = ["seq"] if "seq" in candidates.columns else []
     fan = _with_prompts(candidates, runs, cold_start)
-    return fan.select("run_name", "user_id", "item_id", "prompt", "word_pos")
+    return fan.select("run_name", "user_id", "item_id", "prompt", "word_pos", *extra)

@@ -4,26 +4,21 @@
 one task; one user holding a third of the log would then be sorted by a single
 core. Instead:
 
-1. range-partition on the composite key ``(g, o)`` (a hot group spreads over
-   many partitions) and sort inside each partition;
-2. store these sorted partitions once with a reliable ``checkpoint()`` in the
-   shared ``spark.checkpoint.dir``. Every later consumer reads exactly these
-   partitions in this order. (Two consumers of one range exchange need not
-   share it: column pruning gives them different plans, Spark then samples the
-   range bounds twice and the partitions disagree. Reading a checkpoint rules
-   that out, also for nondeterministic inputs, and cuts the lineage);
-3. inside one stored partition a group is one run of neighbouring rows, and
-   ``monotonically_increasing_id`` (partition index in the high bits, row
-   position below) numbers them. One aggregation gives the first number and the
-   row count of every ``(g, partition)``: a row per group and one more for each
-   partition border a group crosses;
-4. a running sum of the counts over a group's partitions says how many of its
-   rows lie before; joined back on ``(g, partition)``, so that a hot group's
-   rows meet as many keys as it has partitions.
-
-``rank = rows before + number - first number + 1``. Without group columns the
-table of step 3 has one row per stored partition and is broadcast. Nothing
-passes through the driver, and the plan is the same for any number of partitions.
+1. a sample of the distinct sort keys, of about ``SAMPLE`` keys at any size of the input,
+   gives ``CHUNKS`` cutting points of the whole table. Which keys are sampled
+   follows from a hash of the keys and the number of rows alone;
+2. the rows are dealt by (group, chunk), the chunk being the place of the key
+   among the cutting points, and numbered there. A group's chunk is part of the
+   table's chunk, so no task gets much more than its share of the table, whatever
+   the groups are;
+3. a table of row counts per (group, chunk), at most ``CHUNKS`` rows a group,
+   says by its running sum how many rows of a group lie in earlier chunks. Its join
+   finds the rows dealt already.
+
+The rows are shuffled once, nothing is stored and no job runs before the result is
+asked for: the count and the sample are scalar subqueries. The input is read for
+each of them, so an input that is dear to compute or not deterministic (model
+scores) should be a stored table.
 """
 
 from __future__ import annotations
@@ -33,24 +28,34 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_LOCAL_BITS = 33  # monotonically_increasing_id keeps the partition id above bit 33
+SAMPLE = 4096
+CHUNKS = 256
+_HASH_RANGE = float(1 << 63)
 
 
 def _as_col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _stored_in_order(df: DataFrame, keys: Sequence[Column], num_partitions: int | None) -> DataFrame:
-    """``df`` range-partitioned and sorted by ``keys``, stored, with the number ``_sw_mid`` and partition ``_sw_pid`` of each row."""
-    from shelfwise.session import checkpoint_dir
+def _cutting_points(keyed: DataFrame) -> DataFrame:
+    """One row: the sorted cutting points, fewer than ``CHUNKS``."""
+    n = keyed.agg(F.count(F.lit(1)).alias("n")).scalar()
+    place = F.abs(F.xxhash64("_group", "_key").bitwiseOR(F.lit(1))).cast("double")
+    sampled = keyed.where(place * n <= F.lit(_HASH_RANGE * SAMPLE)).select("_key").distinct()
+    keys = sampled.agg(F.array_sort(F.collect_list("_key")).alias("keys"))
+    step = F.ceil((F.size("keys") + 1) / F.lit(CHUNKS))
+    return keys.select(F.filter("keys", lambda x, i: (i + 1) % step == 0))
 
-    checkpoint_dir(df.sparkSession)
-    # The checkpoint job is the only consumer of this exchange, so AQE may
-    # coalesce adjacent range partitions (order is kept) unless a count is given.
-    parted = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
-    stored = parted.sortWithinPartitions(*keys).checkpoint(eager=True)
-    return (stored.withColumn("_sw_mid", F.monotonically_increasing_id())
-            .withColumn("_sw_pid", F.shiftright("_sw_mid", _LOCAL_BITS)))
+
+def _with_chunk(keyed: DataFrame, cuts: Column) -> DataFrame:
+    """``keyed`` with ``_chunk``, the number of cutting points before the key, by binary search."""
+    out = keyed.withColumns({"_cuts": cuts, "_chunk": F.lit(0)})
+    width = CHUNKS // 2
+    while width:
+        beyond = F.get("_cuts", F.col("_chunk") + (width - 1)) < F.col("_key")
+        out = out.withColumn("_chunk", F.when(beyond, F.col("_chunk") + width).otherwise(F.col("_chunk")))
+        width //= 2
+    return out.drop("_cuts")
 
 
 def rank_within_groups(
@@ -59,33 +64,31 @@ def rank_within_groups(
     order_cols: Sequence[str | Column],
     rank_col: str = "rank",
     size_col: str | None = None,
-    num_partitions: int | None = None,
 ) -> DataFrame:
     """Add ``rank_col`` = row_number() over (partition by group order by order).
 
-    Ranks are 1-based BIGINT. ``size_col`` (optional) receives the group size.
-    Null group keys form their own group, as in a window; without group columns
-    the whole table is one group.
+    ``order_cols`` are ascending, NULL first; order a number descending by its
+    negative. Ranks are 1-based BIGINT. ``size_col`` (optional) receives the group
+    size. Null group keys form their own group, as in a window; without group
+    columns the whole table is one group. Rows of equal keys in a group are
+    numbered in any order, and stand in one task.
     """
-    group_cols = list(group_cols)
-    numbered = _stored_in_order(df, [_as_col(c) for c in [*group_cols, *order_cols]], num_partitions)
-    runs = numbered.groupBy(*group_cols, "_sw_pid").agg(F.min("_sw_mid").alias("_sw_first"), F.count(F.lit(1)).alias("_sw_n"))
-    group = Window.partitionBy(*group_cols)
-    before = group.orderBy("_sw_pid").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.select(
-        *[F.col(c).alias(f"_sw_g{i}") for i, c in enumerate(group_cols)],
-        F.col("_sw_pid").alias("_sw_of"),
-        "_sw_first",
-        F.coalesce(F.sum("_sw_n").over(before), F.lit(0)).alias("_sw_before"),
-        *([F.sum("_sw_n").over(group).alias(size_col)] if size_col else []),
-    )
-    cond = [numbered["_sw_pid"] == runs["_sw_of"]]
-    cond += [numbered[c].eqNullSafe(runs[f"_sw_g{i}"]) for i, c in enumerate(group_cols)]
-    # The merge join can spill and AQE splits it. Without the hint AQE may
-    # broadcast the numbered rows when they are small and stream the table of
-    # runs, coalesced to very few partitions: every row then flows through one task.
-    joined = numbered.join(runs.hint("merge") if group_cols else F.broadcast(runs), cond, "inner")
-    rank = F.col("_sw_before") + F.col("_sw_mid") - F.col("_sw_first") + F.lit(1)
+    keyed = df.withColumns({
+        # a struct compares NULLs as equal, so groups with a NULL key meet their counts by a plain join
+        "_group": F.struct(*group_cols) if group_cols else F.lit(0),
+        "_key": F.struct(*[_as_col(c).alias(f"k{i}") for i, c in enumerate(order_cols)]),
+    })
+    dealt = _with_chunk(keyed, _cutting_points(keyed).scalar())
+    group = Window.partitionBy("_group")
+    before = group.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy("_group", "_chunk").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_group", "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+        *([F.sum("_n").over(group).alias(size_col)] if size_col else []))
+    numbered = dealt.withColumn("_place", F.row_number().over(Window.partitionBy("_group", "_chunk").orderBy("_key")))
+    # The merge join keeps the rows where they are; AQE could otherwise broadcast them
+    # when they are small and stream the counts through very few tasks.
+    joined = numbered.join(counts.hint("merge"), ["_group", "_chunk"], "inner")
+    rank = (F.col("_before") + F.col("_place")).cast("long")
     return joined.select(*df.columns, rank.alias(rank_col), *([size_col] if size_col else []))
 
 

@@ -7,7 +7,8 @@ the score of the run's positive answer word. Model state belongs in the
 scorer object and is built lazily once per Python worker.
 
 Ranking: score descending, ties by item id ascending, one rank 1..n per
-(run, user), computed without gathering a user's candidates in one task.
+(run, user), computed without gathering a user's candidates in one task. A candidate
+that was scored several times counts with the score of its last source row.
 """
 
 from __future__ import annotations
@@ -15,8 +16,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.operators.ranking import rank_within_groups
 from shelfwise.session import materialize
@@ -41,62 +43,74 @@ class StubScorer:
 
 
 def score_prompts(prompts: DataFrame, scorer: Scorer, balance_partitions: int | None = None) -> DataFrame:
-    """Apply ``scorer`` to every prompt; returns ``run_name, user_id, item_id, score``.
+    """Apply ``scorer`` to every prompt; returns ``run_name, user_id, item_id, score`` and ``seq`` if the prompts have one.
 
+    ``seq`` (any sortable value, e.g. file and line of the source row) passes by the scorer
+    and says which score of a repeated candidate is the last one.
     ``balance_partitions``: round-robin the prompts into that many partitions
     first, so an expensive model sees evenly sized tasks.
     """
     cols = ["run_name", "user_id", "item_id", "prompt", "word_pos"]
-    src = prompts.select(*cols)
+    parts = _seq_parts(prompts)
+    src = prompts.select(*cols, *[c.alias(f"_seq_{n}") for n, c, _ in parts])
     if balance_partitions:
         src = src.repartition(int(balance_partitions))
+    schema = T.StructType([*T.StructType.fromDDL(SCORE_SCHEMA).fields, *[T.StructField(f"_seq_{n}", t) for n, _, t in parts]])
 
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            score = pd.Series(list(scorer(batch)), dtype="float64")
+            score = pd.Series(list(scorer(batch[cols])), dtype="float64")
             if len(score) != len(batch):
                 raise ValueError(f"the scorer returned {len(score)} scores for {len(batch)} prompts")
             if score.isna().any():
                 raise ValueError("the scorer returned a missing score")
-            yield pd.DataFrame({
-                "run_name": batch["run_name"].to_numpy(),
-                "user_id": batch["user_id"].to_numpy(),
-                "item_id": batch["item_id"].to_numpy(),
-                "score": score.to_numpy(),
-            })
+            keys = batch.drop(columns=["prompt", "word_pos"])
+            keys.insert(3, "score", score.to_numpy())
+            yield keys
 
-    return src.mapInPandas(apply, SCORE_SCHEMA)
+    out = src.mapInPandas(apply, schema)
+    if not parts:
+        return out
+    names = [F.col(f"_seq_{n}").alias(n) for n, _, _ in parts]
+    return out.select("run_name", "user_id", "item_id", "score", (F.struct(*names) if len(parts) > 1 else names[0]).alias("seq"))
 
 
-def latest_scores(scores: DataFrame, seq_col: str) -> DataFrame:
-    """One score per (run, user, item); the highest ``seq_col`` wins."""
-    return scores.groupBy("run_name", "user_id", "item_id").agg(
-        F.max_by("score", seq_col).alias("score")
-    )
+def _seq_parts(prompts: DataFrame) -> list[tuple[str, Column, T.DataType]]:
+    """The fields of ``seq`` as flat columns, which cross to Python without a struct per row."""
+    if "seq" not in prompts.columns:
+        return []
+    kind = prompts.schema["seq"].dataType
+    if isinstance(kind, T.StructType):
+        return [(f.name, F.col(f"seq.`{f.name}`"), f.dataType) for f in kind.fields]
+    return [("seq", F.col("seq"), kind)]
+
+
+def latest_scores(scores: DataFrame, seq_col: str = "seq", keys=("run_name", "user_id", "item_id")) -> DataFrame:
+    """One score per candidate, the one that comes last in ``seq_col``.
+
+    The order is carried in the rows, from their source, so the result is the same
+    however they are partitioned. Of scores that share a place, or without
+    ``seq_col``, the highest is taken.
+    """
+    if seq_col not in scores.columns:
+        return scores.groupBy(*keys).agg(F.max("score").alias("score"))
+    return scores.groupBy(*keys).agg(F.max(F.struct(F.col(seq_col), "score"))["score"].alias("score"))
 
 
 def rank_scores(scores: DataFrame, group_cols=("run_name", "user_id")) -> DataFrame:
-    """Adds ``rank`` (BIGINT) by score desc, item_id asc within each group."""
-    return rank_within_groups(
-        scores, list(group_cols), [F.col("score").desc(), F.col("item_id")], rank_col="rank"
-    )
+    """Adds ``rank`` (BIGINT) by score desc (NULL last), item_id asc within each group."""
+    score = F.col("score")
+    return rank_within_groups(scores, list(group_cols), [score.isNull(), -score, "item_id"], rank_col="rank")
 
 
 def scored_ranking(
     prompts: DataFrame,
     scorer: Scorer,
     balance_partitions: int | None = None,
-    checkpoint: bool = True,
 ) -> DataFrame:
-    """``run_name, user_id, item_id, score, rank``; a repeated candidate counts once, with its last score.
+    """``run_name, user_id, item_id, score, rank``; a repeated candidate counts once, with its last score by ``seq``.
 
-    Scores are checkpointed before ranking (``checkpoint=True``): the model
-    then runs exactly once per prompt, even though ranking reads its input
-    twice (range sampling, then the shuffle).
+    Scores are stored before ranking: the model then runs exactly once per prompt.
     """
-    scores = score_prompts(prompts, scorer, balance_partitions).withColumn("_seq", F.monotonically_increasing_id())
-    if checkpoint:
-        scores = materialize(scores)
-    return rank_scores(latest_scores(scores, "_seq")).select(
-        "run_name", "user_id", "item_id", "score", "rank"
-    )
+    scores = materialize(score_prompts(prompts, scorer, balance_partitions), "scores")
+    return rank_scores(latest_scores(scores)).select("run_name", "user_id", "item_id", "score", "rank")

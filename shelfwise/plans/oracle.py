@@ -243,6 +243,28 @@ QUERIES = {
         UNION ALL
         SELECT run_name, user_id, item_id, rank FROM ranked_structured
         WHERE user_id IN (SELECT user_id FROM gt_structured)""",
+    "user_candidates": """
+        SELECT * FROM cand_text
+        WHERE user_id = (SELECT user_id FROM cand_text GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 1)""",
+    "entities_from_files": "SELECT id, prop, id AS place FROM mapping_entities",
+    "item_features_from_files": "SELECT * FROM item_features",
+    "quoted_features_from_files": """
+        SELECT item_id, author || chr(10) || '"by" ' || publisher AS author, '"' || genre || '"' AS genre,
+               series || chr(9) || chr(10) || chr(10) || genre AS series, publisher,
+               CASE WHEN item_id % 5 <> 0 THEN replace(subject, ',', ',' || chr(10)) END AS subject
+        FROM item_features""",
+    "examples_from_files": "SELECT * FROM examples",
+    "predictions_from_files": """
+        SELECT 'best first' AS run_name, user_id, item_id, rank FROM predictions
+        UNION ALL
+        SELECT 'worst:first', user_id, item_id, CAST(ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY rank DESC) AS BIGINT) FROM predictions""",
+    "latest_scores_from_files": """
+        SELECT user_id, item_id, score, CAST(ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS BIGINT) AS rank
+        FROM (
+          SELECT o_custkey AS user_id, l_partkey AS item_id,
+                 arg_max(CAST((l_orderkey * 7 + l_linenumber * 13) % 1000 AS DOUBLE) / 1000, l_orderkey * 1000 + l_linenumber) AS score
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey, l_partkey)""",
+    "ground_truth_from_files": "SELECT * FROM gt_text",
 }
 
 

@@ -133,6 +133,12 @@ class RecPlan:
     def ranking_candidates_structured(self) -> DataFrame:
         return ex.ranking_candidates_structured(self.examples_split("test"), self.item_features)
 
+    @cached_property
+    def user_candidates(self) -> DataFrame:
+        """The candidates of the user who has most."""
+        candidates = self.ranking_candidates_text
+        return ex.candidates_for_user(candidates, ex.busiest_user(candidates))
+
     # -- C9-C12 -------------------------------------------------------------
     @cached_property
     def prompts_text_multi(self) -> DataFrame:
@@ -153,7 +159,7 @@ class RecPlan:
     # -- C13 ----------------------------------------------------------------
     @cached_property
     def ranked_predictions(self) -> DataFrame:
-        scores = self.views.scores.withColumn("run_name", F.lit("scores"))
+        scores = materialize(self.views.scores.withColumn("run_name", F.lit("scores")), "scores")
         return scoring.rank_scores(scores).select("user_id", "item_id", "score", "rank")
 
     @cached_property

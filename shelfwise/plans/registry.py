@@ -9,8 +9,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfwise.plans import file_queries
 from shelfwise.plans.recplan import RecPlan
 
+
 def plan_for(spark: SparkSession, sf_dir: str) -> RecPlan:
     return RecPlan(spark, sf_dir)
 
@@ -47,7 +49,7 @@ QUERY_NAMES = (
     "ranking_prompts_structured", "ranked_predictions", "scored_ranking",
     "scored_ranking_structured", "answer_accuracy", "task_registry_accuracy",
     "ground_truth_text", "ground_truth_structured", "train_positives",
-    "evaluable_predictions", "dropped_users", "evaluable_predictions_all_runs",
+    "evaluable_predictions", "dropped_users", "evaluable_predictions_all_runs", "user_candidates",
 )
 
 
@@ -58,4 +60,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["mapping_entities"] = _views("mapping_entities")
     # Tokenizer-mode truncation: byte-level ids; no SQL oracle (rows only).
     out["truncated_texts_subword"] = _attr("truncated_texts_bytes")
-    return out
+    return out | {f.__name__: f for f in file_queries.QUERIES}

@@ -3,8 +3,8 @@
     raw/<ds>/mapping_entities.tsv, raw/<ds>/item-prop/train.tsv
         -> map_item_features -> interim/<ds>/item-prop/train.tsv
     raw/<ds>/train.tsv, raw/<ds>/test.tsv
-        -> train_dev_split -> interim/<ds>/{train,dev,test}.tsv
-    interim -> build_user_profiles -> processed/<ds>/{train,dev,test}.tsv
+        -> train_dev_split -> interim/<ds>/interactions/split={train,dev,test}
+    interim -> build_user_profiles -> processed/<ds>/examples/split={train,dev,test}
     raw/<ds>/texts/<item>.text -> truncate_texts -> processed/<ds>/texts (parquet)
     processed + texts + runs -> rank_candidates -> results/run_name=<run>/
     raw test/train (+ texts or item features) -> export_ground_truth -> eval/<ds>[_structured]/
@@ -46,28 +46,21 @@ def train_dev_split(
     spark: SparkSession, data_dir: str, dataset: str = "dbbook", dev_size: float = DEV_FRACTION, seed: int = SPLIT_SEED
 ) -> None:
     raw_train = tsv.read_interactions(spark, _p(data_dir, "raw", dataset, "train.tsv"))
-    assigned = split.assign_split(raw_train, dev_size, seed)
-    for name in ("train", "dev"):
-        rows = assigned.where(F.col("split") == name).drop("split")
-        if name == "dev":  # O2
-            rows = rows.repartitionByRange("user_id").sortWithinPartitions("user_id")
-        tsv.write_tsv(rows, _p(data_dir, "interim", dataset, f"{name}.tsv"))
     test = tsv.read_interactions(spark, _p(data_dir, "raw", dataset, "test.tsv"))
-    tsv.write_tsv(test, _p(data_dir, "interim", dataset, "test.tsv"))
+    rows = profiles.tag_splits(split.assign_split(raw_train, dev_size, seed), test)
+    tsv.write_splits(rows, _p(data_dir, "interim", dataset, "interactions"))
+
+
+def _interim(spark: SparkSession, data_dir: str, dataset: str) -> DataFrame:
+    """Every split's interactions, with ``split``, from one scan."""
+    return tsv.read_splits(spark, _p(data_dir, "interim", dataset, "interactions"))
 
 
 def build_user_profiles(spark: SparkSession, data_dir: str, dataset: str = "dbbook") -> None:
     feats = tsv.read_item_features(spark, _p(data_dir, "interim", dataset, "item-prop", "train.tsv"))
-    interim = {
-        s: tsv.read_interactions(spark, _p(data_dir, "interim", dataset, f"{s}.tsv")).withColumn("split", F.lit(s))
-        for s in ("train", "dev", "test")
-    }
-    rows = interim["train"].unionByName(interim["dev"]).unionByName(interim["test"])
-    prof = profiles.user_profiles(interim["train"], feats)
-    exs = profiles.build_examples(rows, prof, feats)
-    for s in ("train", "dev", "test"):
-        out = profiles.sorted_for_output(profiles.examples_of(exs, s))
-        tsv.write_tsv(out, _p(data_dir, "processed", dataset, f"{s}.tsv"))
+    rows = _interim(spark, data_dir, dataset)
+    prof = profiles.user_profiles(rows.where(F.col("split") == "train"), feats)
+    tsv.write_splits(profiles.build_examples(rows, prof, feats), _p(data_dir, "processed", dataset, "examples"))
 
 
 def truncate_texts(
@@ -83,7 +76,9 @@ def truncate_texts(
 
 
 def _processed(spark: SparkSession, data_dir: str, dataset: str, split_name: str) -> DataFrame:
-    return tsv.read_examples(spark, _p(data_dir, "processed", dataset, f"{split_name}.tsv")).na.fill("")
+    """One split's examples, in the order of its files (``seq``)."""
+    path = _p(data_dir, "processed", dataset, "examples", f"split={split_name}")
+    return tsv.read_examples(spark, path, with_seq=True).na.fill("")
 
 
 def rank_candidates(

@@ -57,6 +57,13 @@ SCORES = T.StructType([
     T.StructField("score", T.DoubleType()),
 ])
 
+#: A scorer's log: a candidate may have several scores, the last line counts.
+SCORE_LOG = T.StructType([
+    T.StructField("user_id", T.LongType()),
+    T.StructField("item_id", T.LongType()),
+    T.StructField("score", T.DoubleType()),
+])
+
 RUNS = T.StructType([
     T.StructField("run_name", T.StringType()),
     T.StructField("kind", T.StringType()),

@@ -93,8 +93,8 @@ def build_entity_src(part: DataFrame, lineitem: DataFrame, supplier: DataFrame)
 
 
 def build_mapping_entities(entity_src: DataFrame) -> DataFrame:
-    """Distinct URIs numbered 1..n in md5 order (distributed row numbering)."""
-    props = entity_src.select("prop").distinct()
+    """Distinct URIs numbered 1..n in md5 order (distributed row numbering, which reads its input several times)."""
+    props = materialize(entity_src.select("prop").distinct(), "props")
     ranked = rank_within_groups(props, [], [F.md5(F.col("prop")), F.col("prop")], rank_col="id")
     return ranked.select(F.col("id").cast("long").alias("id"), "prop")
 
@@ -152,7 +152,7 @@ class FixtureViews:
     @cached_property
     def predictions(self) -> DataFrame:
         return rank_within_groups(
-            self.scores, ["user_id"], [F.col("score").desc(), F.col("item_id")], rank_col="rank"
+            materialize(self.scores, "scores"), ["user_id"], [-F.col("score"), "item_id"], rank_col="rank"
         )
 
     @cached_property

@@ -1,100 +1,109 @@
 """Headerless tab-separated files: the on-disk format of the original.
 
 Readers always take an explicit schema (no inference) and apply pandas'
-default missing-value tokens to string columns (S10). Where row order carries
-meaning the reader adds ``seq``. File, split start (``_metadata.file_block_start``)
-and position inside the split order lines without a shuffle, which is all that
-triples need; entities (and the rank of predictions) get the ordinal, by the
-distributed row numbering.
+default missing-value tokens (S10). A missing id stays NULL where the original
+allows it; anything else that isn't a number ends the job with file, place and
+text of the record. Tables with text columns may hold quoted newlines and are cut into
+records by ``records.read_records``, in splits; tables of ids are read as lines.
+
+Where row order carries meaning the reader adds ``seq``: for triples file, split
+start and position inside the split, for records file and line number. Neither
+needs a shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise import schemas
 from shelfwise.functions.text import na_to_null
 from shelfwise.operators.ranking import rank_within_groups
+from shelfwise.sources.records import read_records
 
-_CSV_OPTIONS = {
-    "sep": "\t",
-    "header": "false",
-    "quote": '"',
-    "escape": '"',  # pandas doubles quotes inside quoted fields
-    "mode": "PERMISSIVE",
-    "ignoreLeadingWhiteSpace": "false",
-    "ignoreTrailingWhiteSpace": "false",
-    "nullValue": "\u0000never\u0000",  # NA handling is done by na_to_null
-}
-
-
-def _with_na(df: DataFrame, schema: T.StructType) -> DataFrame:
-    return df.select(*[
-        na_to_null(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
-        for f in schema.fields
-    ])
 
+def _number(part: Column, kind: str, bad: Column, required: bool = True) -> Column:
+    """The id in ``part``; what isn't one raises the error ``bad``. A missing one is NULL unless ``required``.
 
-def _number(part, kind: str, wanted=None):
-    """The id in ``part``; a line without it ends the job with its file and text, as pandas does.
-
-    ``wanted`` marks the lines that count: Spark may look at a line before the filter that drops it.
+    Columns that the original infers hold whole floats where values are missing.
     """
-    bad = F.raise_error(F.concat(F.lit("malformed line in "), F.col("file"), F.lit(": "), F.col("line"))).cast(kind)
-    real = F.trim("line") != ""
-    return F.coalesce(part.try_cast(kind), F.when(real if wanted is None else real & wanted, bad))
-
-
-def read_tsv(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType,
-    multiline: bool = False,
-    failfast: bool = False,
-) -> DataFrame:
-    """Headerless TSV with an explicit schema.
-
-    ``multiline`` allows quoted newlines (it makes each file one split);
-    ``failfast`` rejects malformed rows instead of nulling them (S7).
+    given = part if required else na_to_null(part)
+    value = F.regexp_replace(given, r"\.0*$", "").try_cast(kind)
+    wrong = value.isNull() if required else given.isNotNull() & value.isNull()
+    return F.when(wrong, F.raise_error(bad).cast(kind)).otherwise(value)
+
+
+def _typed(rows: DataFrame, fields: Column, where: Column, schema: T.StructType, required: Sequence[str], *keep: str) -> DataFrame:
+    """The columns of ``schema`` from an array of fields; too many fields are an error, missing ones are NULL."""
+    bad = F.concat(F.lit("malformed line in "), where, F.lit(": "), F.array_join(fields, "\t"))
+    n = len(schema.fields)
+    out = []
+    for i, f in enumerate(schema.fields):
+        part = F.when(F.size(fields) > n, F.raise_error(bad).cast("string")).otherwise(F.get(fields, F.lit(i)))
+        if isinstance(f.dataType, T.StringType):
+            out.append(na_to_null(part).alias(f.name))
+        else:
+            out.append(_number(part, f.dataType.simpleString(), bad, f.name in required).alias(f.name))
+    return rows.select(*out, *keep)
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType, required: Sequence[str] = (), with_seq: bool = False,
+               skip_lines: int = 0) -> DataFrame:
+    """Headerless TSV with an explicit schema, quoted newlines and all; ``with_seq`` adds ``seq`` (file, line).
+
+    The first ``skip_lines`` lines of each file are left out. A column in ``required`` must hold a number.
     """
-    reader = spark.read.schema(schema).options(**_CSV_OPTIONS)
-    if multiline:
-        reader = reader.option("multiLine", "true")
-    if failfast:
-        reader = reader.option("mode", "FAILFAST")
-    return _with_na(reader.csv(path), schema)
+    rows = read_records(spark, path)
+    if skip_lines:
+        rows = rows.where(F.col("line") > skip_lines)
+    rows = rows.withColumn("seq", F.struct("file", "line"))
+    where = F.concat("file", F.lit(", line "), F.col("line").cast("string"))
+    return _typed(rows, F.col("fields"), where, schema, required, *(["seq"] if with_seq else []))
+
+
+def read_ids(spark: SparkSession, path: str, schema: T.StructType, required: Sequence[str] = ()) -> DataFrame:
+    """A table of numbers only, read as lines; blank ones are skipped, quotes around a number are dropped."""
+    lines = _raw_lines(spark, path).where(F.trim("line") != "")
+    fields = F.transform(F.split("line", "\t"), lambda x: F.regexp_replace(x, '^"(.*)"$', "$1"))
+    return _typed(lines, fields, F.col("file"), schema, required)
 
 
 def read_interactions(spark: SparkSession, path: str) -> DataFrame:
-    return read_tsv(spark, path, schemas.INTERACTIONS)
+    """Missing users, items and labels are NULL, other text is an error."""
+    return read_ids(spark, path, schemas.INTERACTIONS)
+
+
+def read_splits(spark: SparkSession, path: str) -> DataFrame:
+    """S1 of what ``write_splits`` wrote: interactions with the ``split`` of their folder."""
+    lines = _raw_lines(spark, path).where(F.trim("line") != "")
+    split = F.regexp_extract("file", r"/split=([^/]+)/[^/]*$", 1)
+    return _typed(lines.withColumn("split", split), F.split("line", "\t"), F.col("file"), schemas.INTERACTIONS, (), "split")
 
 
 def read_ground_truth(spark: SparkSession, path: str) -> DataFrame:
-    return read_tsv(spark, path, schemas.INTERACTIONS, failfast=True)
+    """Typed as integers, so nothing may be missing."""
+    return read_ids(spark, path, schemas.INTERACTIONS, required=schemas.INTERACTIONS.names)
 
 
 def read_item_features(spark: SparkSession, path: str) -> DataFrame:
-    return read_tsv(spark, path, schemas.ITEM_FEATURES)
+    """S4."""
+    return read_table(spark, path, schemas.ITEM_FEATURES, required=["item_id"])
 
 
-def read_examples(spark: SparkSession, path: str) -> DataFrame:
-    return read_tsv(spark, path, schemas.EXAMPLES)
+def read_examples(spark: SparkSession, path: str, with_seq: bool = False) -> DataFrame:
+    """S5; ``seq`` is the order of the rows in the files."""
+    return read_table(spark, path, schemas.EXAMPLES, with_seq=with_seq)
 
 
 def read_item_prop(spark: SparkSession, path: str, with_seq: bool = True) -> DataFrame:
     """Triples; with ``with_seq`` a ``seq`` that sorts in triple order (a struct: file, split, place)."""
     if not with_seq:
-        return read_tsv(spark, path, schemas.ITEM_PROP)
+        return read_ids(spark, path, schemas.ITEM_PROP, required=schemas.ITEM_PROP.names)
     lines = _raw_lines(spark, path).withColumn("seq", F.struct("file", "_blk", "_mid")).where(F.trim("line") != "")
-    parts = F.split(F.col("line"), "\t")
-    return lines.select(
-        _number(F.get(parts, F.lit(0)), "long").alias("item_id"),
-        _number(F.get(parts, F.lit(1)), "long").alias("id"),
-        _number(F.get(parts, F.lit(2)), "int").alias("type"),
-        F.col("seq"),
-    )
+    return _typed(lines, F.split("line", "\t"), F.col("file"), schemas.ITEM_PROP, schemas.ITEM_PROP.names, "seq")
 
 
 def _raw_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -107,73 +116,57 @@ def _raw_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_lines(spark: SparkSession, path: str, skip_rows: int = 0) -> DataFrame:
-    """Lines of every file with ``file`` and 1-based ``seq`` in file order.
-
-    The first ``skip_rows`` lines of each file are dropped.
-    """
-    ranked = rank_within_groups(_raw_lines(spark, path), ["file"], ["_blk", "_mid"], rank_col="seq")
-    out = ranked.where(F.col("seq") > skip_rows).select("line", "file", "seq")
-    if skip_rows:
-        out = out.withColumn("seq", F.col("seq") - F.lit(skip_rows))
-    return out
-
-
 def read_entities(spark: SparkSession, path: str, skip_rows: int = 2) -> DataFrame:
-    """S3: ``id, prop, seq`` with the first two lines discarded.
+    """S3: ``id, prop, seq`` with the first two lines of each file discarded.
 
-    ``seq`` is the entity-file order used to pick "first" values (D2).
+    ``seq``, file and line number, is the entity order used to pick "first" values (D2).
     """
-    parts = F.split(F.col("line"), "\t", 2)
-    return read_lines(spark, path, skip_rows).where(F.trim("line") != "").select(
-        _number(F.get(parts, F.lit(0)), "long", F.col("seq") > 0).alias("id"),
-        na_to_null(F.get(parts, F.lit(1))).alias("prop"),
-        F.col("seq"),
-    )
+    return read_table(spark, path, schemas.ENTITIES, required=["id"], with_seq=True, skip_lines=skip_rows)
 
 
 def _decoded(path):
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
+def run_name(file: Column) -> Column:
+    """The ``run_name=<run>`` folder a file sits in, else the file's name without its suffix."""
+    # Spark's file paths are URL-encoded, and its partition folders escape names once more.
+    folder = F.nullif(F.regexp_extract(_decoded(file), r"/run_name=([^/]+)/[^/]*$", 1), F.lit(""))
+    return F.coalesce(_decoded(folder), F.regexp_extract(_decoded(file), r"([^/]+?)(?:\.(?:txt|tsv|csv))?$", 1))
+
+
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     """``run_name, user_id, item_id, rank`` from ``user<TAB>item`` files.
 
     ``rank`` is the position of the line among the same user's lines of the
-    same run, in file order (files of a run in name order). The run name is
-    the ``run_name=<run>`` folder a file sits in, else the file's name without its suffix, so one
-    folder can hold every run.
+    same run, in file order (files of a run in name order), so one folder can hold every run.
     """
-    raw = _raw_lines(spark, path)
-    parts = F.split(F.col("line"), "\t")
-    # Spark's file paths are URL-encoded, and its partition folders escape names once more.
-    folder_run = F.nullif(F.regexp_extract(_decoded(F.col("file")), r"/run_name=([^/]+)/[^/]*$", 1), F.lit(""))
-    folder_run = _decoded(folder_run)
-    file_run = F.regexp_extract(_decoded(F.col("file")), r"([^/]+?)(?:\.(?:txt|tsv|csv))?$", 1)
-    rows = raw.where(F.col("line") != "").select(
-        F.coalesce(folder_run, file_run).alias("run_name"),
-        _number(F.get(parts, F.lit(0)), "long").alias("user_id"),
-        _number(F.get(parts, F.lit(1)), "long").alias("item_id"),
-        "file", "_blk", "_mid",
-    )
-    ranked = rank_within_groups(rows, ["run_name", "user_id"], ["file", "_blk", "_mid"], rank_col="rank")
+    rows = read_table(spark, path, schemas.PREDICTIONS, required=schemas.PREDICTIONS.names, with_seq=True)
+    rows = rows.select(run_name(F.col("seq.file")).alias("run_name"), "user_id", "item_id", "seq")
+    ranked = rank_within_groups(rows, ["run_name", "user_id"], ["seq"], rank_col="rank")
     return ranked.select("run_name", "user_id", "item_id", "rank")
 
 
+_WRITE_OPTIONS = {
+    "sep": "\t", "header": "false", "quote": '"', "escape": '"', "nullValue": "", "emptyValue": "",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K1: headerless TSV; NULL and '' both written as an empty field."""
-    (
-        df.write.mode(mode)
-        .option("sep", "\t")
-        .option("header", "false")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("nullValue", "")
-        .option("emptyValue", "")
-        .option("ignoreLeadingWhiteSpace", "false")
-        .option("ignoreTrailingWhiteSpace", "false")
-        .csv(path)
-    )
+    df.write.mode(mode).options(**_WRITE_OPTIONS).csv(path)
+
+
+def write_splits(df: DataFrame, path: str, order: Sequence[str] = ("user_id", "item_id")) -> None:
+    """Every split in one job, as ``split=<name>`` folders whose files hold ascending ranges of ``order``.
+
+    One range partitioning by (split, order): a split's rows lie in neighbouring
+    ranges, so a file belongs to one range of one split.
+    """
+    ordered = df.repartitionByRange("split", *order).sortWithinPartitions("split", *order)
+    (ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("split")
+     .options(**_WRITE_OPTIONS).csv(path))
 
 
 def write_ranked_predictions(df: DataFrame, path: str, partition_by_run: bool = True) -> None:

@@ -141,6 +141,22 @@ def test_latest_score_wins(spark):
     assert scoring.latest_scores(scores, "seq").collect()[0]["score"] == 0.7
 
 
+def test_last_score_under_any_partitioning(spark):
+    seq = "struct<file:string,line:bigint>"
+    rows = [("r", 1, 5, f"p{k}", "Yes", (f"part-{k // 40}", k % 40)) for k in range(100)] + [("r", 1, 6, "q", "Yes", ("part-0", 0))]
+    df = spark.createDataFrame(rows, f"run_name string, user_id long, item_id long, prompt string, word_pos string, seq {seq}")
+
+    def scorer(batch):
+        return [float(p[1:] or 0) for p in batch["prompt"]]
+
+    for parts in (1, 3, 16):
+        scores = scoring.score_prompts(df.orderBy(F.rand(parts)).repartition(parts), scorer)
+        got = {r["item_id"]: r["score"] for r in scoring.latest_scores(scores).collect()}
+        assert got == {5: 99.0, 6: 0.0}
+    # without an order the highest score is taken
+    assert scoring.latest_scores(scores.drop("seq")).where("item_id = 5").first()["score"] == 99.0
+
+
 def test_prediction_cleaning_and_accuracy(spark):
     df = spark.createDataFrame([("<pad> Yes</s>", "Yes"), ("Yes", "Yes")], "pred_raw string, label_word string")
     assert [r[0] for r in df.select(clean_prediction(F.col("pred_raw"))).collect()] == ["Yes", ""]

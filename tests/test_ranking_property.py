@@ -21,8 +21,7 @@ rows_strategy = st.lists(
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=rows_strategy, parts=st.integers(1, 6))
 def test_rank_matches_window(spark, rows, parts):
-    df = spark.createDataFrame(rows, "g long, score long, item long")
-    order = [F.col("score").desc(), F.col("item")]
-    a = rank_within_groups(df, ["g"], order, "rank", size_col="n", num_partitions=parts)
-    b = rank_within_groups_window(df, ["g"], order, "rank", size_col="n")
+    df = spark.createDataFrame(rows, "g long, score long, item long").repartition(parts)
+    a = rank_within_groups(df, ["g"], [-F.col("score"), "item"], "rank", size_col="n")
+    b = rank_within_groups_window(df, ["g"], [F.col("score").desc(), F.col("item")], "rank", size_col="n")
     assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)

@@ -44,10 +44,10 @@ def test_stages_match_plan(spark):
     feats = tsv.read_item_features(spark, os.path.join(root, "interim", "dbbook", "item-prop", "train.tsv"))
     assert _same(feats, plan.item_features)
 
-    dev = tsv.read_interactions(spark, os.path.join(root, "interim", "dbbook", "dev.tsv"))
+    dev = tsv.read_interactions(spark, os.path.join(root, "interim", "dbbook", "interactions", "split=dev"))
     assert _same(dev, plan.split_assignment.where("split = 'dev'").drop("split"))
 
-    train = tsv.read_examples(spark, os.path.join(root, "processed", "dbbook", "train.tsv")).na.fill("")
+    train = tsv.read_examples(spark, os.path.join(root, "processed", "dbbook", "examples", "split=train")).na.fill("")
     assert _same(train, plan.examples_split("train"))
 
     texts = text_files.read_texts(spark, os.path.join(root, "processed", "dbbook", "texts"))
