@@ -2,7 +2,10 @@
 
 ``Rolling`` holds prefix sums of a polynomial hash modulo 2**64 over a byte
 buffer, so the hash of any byte range costs two look-ups. Equal ranges have
-equal hashes wherever they stand.
+equal hashes wherever they stand. Modulo a power of two some different texts of
+regular build collide (a Thue-Morse string of 1,024 bytes and its complement), so it
+serves where a hit is checked or only guides; ``PrimeRolling``, modulo the prime
+2**61 - 1, serves where equality rests on the hash.
 """
 
 from __future__ import annotations
@@ -56,6 +59,56 @@ class Rolling:
         return mix((self.sums[k:] - self.sums[:-k]) * self.down[:n - k + 1])
 
 
+P61 = np.uint64((1 << 61) - 1)
+_BASE61 = 0x1B873593CC9E2D51 % int(P61)
+_BLOCK61 = 1 << 20
+
+
+def _fold61(x: np.ndarray) -> np.ndarray:
+    x = (x & P61) + (x >> np.uint64(61))
+    return np.where(x >= P61, x - P61, x)
+
+
+def mulmod61(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo 2**61 - 1 of numbers below it."""
+    half, low = np.uint64(31), np.uint64((1 << 31) - 1)
+    a1, a0, b1, b0 = a >> half, a & low, b >> half, b & low
+    mid = a1 * b0 + a0 * b1
+    return _fold61(((a1 * b1) << np.uint64(1)) + (mid >> np.uint64(30)) + ((mid & np.uint64((1 << 30) - 1)) << half) + a0 * b0)
+
+
+def _powers61(name: str, base: int, n: int) -> np.ndarray:
+    table = _powers.get(name)
+    if table is None or len(table) < n:
+        table = np.ones(1, np.uint64)
+        while len(table) < max(n, 1 << 16):
+            table = np.concatenate([table, mulmod61(table, np.uint64(pow(base, len(table), int(P61))))])
+        if len(table) <= 1 << 23 and TaskContext.get():
+            _powers[name] = table
+    return table[:n]
+
+
+class PrimeRolling:
+    """As ``Rolling``, modulo 2**61 - 1."""
+
+    def __init__(self, data: np.ndarray):
+        n = len(data)
+        up = _powers61("up61", _BASE61, n)
+        self.sums = np.zeros(n + 1, np.uint64)
+        for lo in range(0, n, _BLOCK61):  # parts of a block's sums stay below 2**64
+            hi = min(lo + _BLOCK61, n)
+            c = data[lo:hi].astype(np.uint64) + np.uint64(1)
+            high = np.cumsum(c * (up[lo:hi] >> np.uint64(32)))
+            high = ((high & np.uint64((1 << 29) - 1)) << np.uint64(32)) + (high >> np.uint64(29))
+            low = np.cumsum(c * (up[lo:hi] & np.uint64(0xFFFFFFFF)))
+            self.sums[lo + 1:hi + 1] = _fold61(_fold61(low) + _fold61(high) + self.sums[lo])
+        self.down = _powers61("down61", pow(_BASE61, -1, int(P61)), n + 1)
+
+    def ranges(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        between = _fold61(self.sums[stop] + (P61 - self.sums[start]))
+        return mix(mulmod61(between, self.down[start]))
+
+
 def hash_one(data: bytes) -> int:
     """The same hash of a whole string."""
     r = Rolling(np.frombuffer(data, np.uint8))

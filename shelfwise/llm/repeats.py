@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import byte_list, keyed, partitions, small_batches, stored
-from shelfwise.llm.hashing import Rolling, mix, window_owners
+from shelfwise.llm.hashing import PrimeRolling, Rolling, mix, window_owners
 
 #: Rows a scan task holds before it sends them on.
 FLUSH_ROWS = 400_000
@@ -81,11 +81,12 @@ class View:
             self.start = self.stop = None
             sizes = [len(t) for t in texts]
         self.first = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        self.roll = Rolling(self.data)
+        self.roll = Rolling(self.data)  # finds anchors
+        self.strong = PrimeRolling(self.data)  # tells contexts and windows apart
 
     def hashes(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         """Hash of units ``lo`` to before ``hi``."""
-        return self.roll.ranges(lo, hi) if self.start is None else self.roll.ranges(self.start[lo], self.stop[hi - 1])
+        return self.strong.ranges(lo, hi) if self.start is None else self.strong.ranges(self.start[lo], self.stop[hi - 1])
 
     def grams(self, k: int) -> np.ndarray:
         if self.start is None:
@@ -164,10 +165,15 @@ def _by_document(rows: np.ndarray, kind: int, routes: int, fields: np.dtype) ->
         slim["n"], rows = total, rows[head]
     begin = np.concatenate([[0], cut])
     ends = np.concatenate([cut, [len(slim)]])
-    return [(int(o & 0x7FFFFFFF) % routes, kind, o, h, slim[x:y].tobytes())
+    return [(_document_route(o, h, routes), kind, o, h, slim[x:y].tobytes())
             for x, y, o, h in zip(begin.tolist(), ends.tolist(), rows["ord"][begin].tolist(), rows["h"][begin].tolist())]
 
 
+def _document_route(o: int, h: int, routes: int) -> int:
+    """Rows that share an id (all that have none, say) go to different routes, ids in steps as well."""
+    return int(mix(np.array([(o * 0x9E3779B97F4A7C15 + h) & 0xFFFFFFFFFFFFFFFF], np.uint64))[0]) % routes
+
+
 def _by_route(rows: np.ndarray, key: np.ndarray, kind: int, routes: int) -> list[tuple]:
     """One packed row per route; the route follows from ``key``."""
     if not len(rows):
