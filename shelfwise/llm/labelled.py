@@ -5,15 +5,17 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import clean_text, stored
 from shelfwise.llm.hashing import mix
 
-#: At most so many rows of each label, of at most so many characters each, are fetched for fitting.
+#: At most so many rows of each label are fetched for fitting, of at most so many characters each where there are such,
+#: else the shortest whole texts, one at least, of at most so many characters together.
 ROWS_PER_LABEL = 1500
 MAX_CHARS = 6_000
+LONG_CHARS = 1_000_000
 
 
 def held_out(doc_id: Column, parts: int, part: int) -> Column:
@@ -26,22 +28,26 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, parts: int, part: int
     """Texts and 0/1 labels of rows that aren't held out: of each label the first by hash of the id that
     have a text of at most ``max_chars``; and the log odds of label 1 among all such rows.
 
-    Raises ValueError if a label has texts, but all of them are longer. Near copies say nothing new, so one of them stays.
+    A label all of whose texts are longer is learned from the shortest of them. Near copies say nothing new, so one of them stays.
     """
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
              .where("doc_id IS NOT NULL AND y IN (0, 1)").where(~held_out(F.col("doc_id"), parts, part))
              .groupBy("doc_id").agg(F.max("y").alias("y")))
     body = docs.select(docs["doc_id"].cast("long").alias("doc_id"), clean_text(docs["text"]).alias("text"))
-    body = body.withColumns({"h": F.xxhash64("text"), "fits": F.length("text") <= max_chars})
+    body = body.withColumns({"h": F.xxhash64("text"), "size": F.length("text")})
     # Places of the sample go to distinct texts that can be used; texts themselves are fetched by a broadcast of the chosen.
-    able = stored(body.select("doc_id", "h", "fits").join(known, "doc_id").distinct(), "labelled")
-    fits = {r[0]: r[1] for r in able.groupBy("y").agg(F.max("fits")).collect()}
-    if not all(fits.values()):
-        raise ValueError(f"all texts with {label} = {[y for y in fits if not fits[y]]} have more than {max_chars} characters")
+    able = stored(body.select("doc_id", "h", "size").join(known, "doc_id").distinct(), "labelled")
+    shortest = {r[0]: r[1] for r in able.groupBy("y").agg(F.min("size")).collect()}
     texts, ys = [], []
     for y in (0, 1):
-        chosen = (able.where("fits").where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id", "h").limit(rows_per_label)
-                  .select("doc_id", "h"))
+        of_label = able.where(F.col("y") == y)
+        if shortest.get(y, 0) <= max_chars:
+            chosen = of_label.where(F.col("size") <= max_chars).orderBy(F.xxhash64("doc_id"), "doc_id", "h").limit(rows_per_label)
+        else:
+            first = of_label.orderBy("size", "doc_id", "h").limit(rows_per_label)
+            so_far = F.sum("size").over(Window.orderBy("size", "doc_id", "h"))
+            chosen = first.withColumn("sum", so_far).where((F.col("sum") <= LONG_CHARS) | (F.col("sum") == F.col("size")))
+        chosen = chosen.select("doc_id", "h")
         rows = body.join(F.broadcast(chosen), ["doc_id", "h"]).dropDuplicates(["doc_id", "h"]).select("doc_id", "text")
         seen = set()
         for _, text in sorted((r[0], r[1]) for r in rows.collect()):
