@@ -87,23 +87,24 @@ class _Page:
         self.pieces: list[tuple[int, str | None]] = []  # (node, text), or (node, None): a block boundary
         self.named: dict[int, set[str]] = {}  # nodes that their name or form marks, unless they hold the article
         replies = set()  # articles that are readers' comments and the like
-        stack, opened, at = [0], {"body": 1}, 0
+        stack, at = [0], 0
+        opened: dict[str, list[int]] = {"body": [0]}  # places in the stack, by tag
+        endless: set[str] = set()  # tags that no end tag follows any more
 
         def close(n):
             while len(stack) > n:
                 gone = self.tag[stack.pop()]
-                opened[gone] -= 1
+                opened[gone].pop()
                 if gone in _BLOCK:
                     self.pieces.append((stack[-1], None))
 
+        def nearest(names):
+            return max((opened[x][-1] for x in names if opened.get(x)), default=0)
+
         def close_nearest(names, limits):
-            if any(opened.get(x) for x in names):
-                for k in range(len(stack) - 1, 0, -1):
-                    if self.tag[stack[k]] in names:
-                        return close(k)
-                    if self.tag[stack[k]] in limits:
-                        return None
-            return None
+            place = nearest(names)
+            if place and place >= nearest(limits):
+                close(place)
 
         while at < len(source):
             m = _TOKEN.search(source, at)
@@ -146,13 +147,15 @@ class _Page:
                 self.named[node] = marks
             self.cut.append(self.cut[stack[-1]] or hidden or name in _CUT and name not in ("form", "fieldset"))
             if name in _RAW:  # their content isn't markup
-                end = re.compile(rf"(?i)</{re.escape(name)}(?=[\s/>])[^>]*+>?").search(source, at)
+                end = None if name in endless else re.compile(rf"(?i)</{re.escape(name)}(?=[\s/>])[^>]*+>?").search(source, at)
+                if not end:
+                    endless.add(name)
                 if end or name not in ("svg", "math", "object", "noscript", "template"):
                     at = end.end() if end else len(source)
                 continue
             if not attrs.rstrip().endswith("/") or name in _BLOCK or name == "a":
+                opened.setdefault(name, []).append(len(stack))
                 stack.append(node)
-                opened[name] = opened.get(name, 0) + 1
         self._cut_named(replies)
         self._headers()
 
