@@ -125,11 +125,15 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                       F.when(F.size("places") > 0, _covered(F.col("places"))).otherwise(F.lit(0)).cast("long").alias("n_repeat_words"))
 
 
+def _host(docs: DataFrame, host_col: str | None) -> Column:
+    host = docs[host_col].cast("string") if host_col else F.lit("")
+    return F.xxhash64(host.isNull(), host)
+
+
 def line_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str | None = "source") -> DataFrame:
     """``ord, h, g, pos, l1, l2, words``: each line with a word, hashed together with its host ``g``."""
-    host = docs[host_col].cast("string") if host_col else F.lit("")
     rows = docs.select(ordinal(docs[id_col]).alias("ord"), text_hash(docs[text_col]).alias("h"),
-                       F.xxhash64(host.isNull(), host).alias("g"),
+                       _host(docs, host_col).alias("g"),
                        F.posexplode(F.split(clean_text(docs[text_col]), "\n")).alias("pos", "line"))
     rows = rows.withColumn("line", _normal(F.col("line"))).where("line != ''")
     return rows.select("ord", "h", "g", "pos", F.xxhash64("g", "line").alias("l1"), F.xxhash64("line", "g", F.lit(1)).alias("l2"),
@@ -142,7 +146,8 @@ def frequent_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = line_rows(docs, id_col, text_col, host_col)
     counts = rows.groupBy("g", "l1", "l2").agg(F.count_distinct("h").alias("n_docs")).where(F.col("n_docs") > max_docs)
     salt = F.explode(F.sequence(F.lit(0), F.lit(_HOST_SALTS - 1)))
-    hosts = rows.groupBy("g").agg(F.count_distinct("h").alias("host_docs")).withColumn("salt", salt)
+    worded = docs.where(_has_word(clean_text(docs[text_col]))).select(_host(docs, host_col).alias("g"), text_hash(docs[text_col]).alias("h"))
+    hosts = worded.groupBy("g").agg(F.count_distinct("h").alias("host_docs")).withColumn("salt", salt)
     several = counts.withColumn("salt", F.pmod("l1", F.lit(_HOST_SALTS)).cast("int")).join(hosts, ["g", "salt"])
     return stored(several.where(F.col("n_docs") > max_share * F.col("host_docs")).select("l1", "l2", "n_docs"), "frequent_lines")
 
