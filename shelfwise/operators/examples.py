@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.operators.skew import Join, plain_join
+
 FEATURE_RENAMES = (
     ("author", "item_author"),
     ("series", "item_series"),
@@ -40,19 +42,19 @@ def _carried(examples: DataFrame) -> list[str]:
     return [c for c in ("split", "seq") if c in examples.columns]
 
 
-def text_examples(examples: DataFrame, texts: DataFrame) -> DataFrame:
+def text_examples(examples: DataFrame, texts: DataFrame, join: Join = plain_join) -> DataFrame:
     """``user_id, item_id, label, user_genres, item_genre, item_text[, split][, seq]``."""
     extra = _carried(examples)
-    return examples.join(non_empty_texts(texts), "item_id").select(
+    return join(examples, non_empty_texts(texts), "item_id", "inner").select(
         "user_id", "item_id", "label", "user_genres", "item_genre", "item_text", *extra
     )
 
 
-def structured_examples(examples: DataFrame, item_features: DataFrame) -> DataFrame:
+def structured_examples(examples: DataFrame, item_features: DataFrame, join: Join = plain_join) -> DataFrame:
     """Examples of complete items with ``item_author/series/publisher/subject``."""
     extra = _carried(examples)
     ex = examples.where(F.col("item_genre") != "")
-    return ex.join(complete_features(item_features), "item_id").select(
+    return join(ex, complete_features(item_features), "item_id", "inner").select(
         "user_id", "item_id", "label", "user_genres", "item_genre",
         *[b for _, b in FEATURE_RENAMES], *extra,
     )

@@ -28,6 +28,7 @@ from shelfwise.fixed_values import (
     PROP_SUBJECT,
 )
 from shelfwise.functions.uri import clean_genre, clean_subject, strip_resource
+from shelfwise.operators.skew import Join, plain_join
 
 
 def _order_key(entity_order: str | None, triple_order: str | None) -> Column:
@@ -47,6 +48,7 @@ def item_features(
     entities: DataFrame,
     entity_order: str | None = None,
     triple_order: str | None = None,
+    join: Join = plain_join,
 ) -> DataFrame:
     """Return ``item_id, author, genre, series, publisher, subject``.
 
@@ -61,7 +63,7 @@ def item_features(
     ents = _entities(entities, entity_order)
     # Only triples of used codes meet the entities (the filter reaches the scan);
     # items without any are kept by a bare row each, distinct before its shuffle.
-    joined = triples.where(F.col("type").isin(*used)).join(ents, "id")
+    joined = join(triples.where(F.col("type").isin(*used)), ents, "id", "inner")
     typ, prop = F.col("type"), F.col("prop")
     # One cleaned value and one order key per triple, computed before the
     # aggregation instead of once per aggregate function.

@@ -15,14 +15,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.operators.skew import Join, plain_join
 
-def user_profiles(train_rows: DataFrame, item_features: DataFrame) -> DataFrame:
+
+def user_profiles(train_rows: DataFrame, item_features: DataFrame, join: Join = plain_join) -> DataFrame:
     """``user_id, user_genres`` for users with at least one positive train row."""
     positives = train_rows.where((F.col("label") == 1) & F.col("user_id").isNotNull()).select(
         "user_id", "item_id"
     )
     genres = item_features.select("item_id", "genre")
-    liked = positives.join(genres, "item_id", "left")
+    liked = join(positives, genres, "item_id", "left")
     return liked.groupBy("user_id").agg(
         F.array_join(F.array_sort(F.collect_set(F.nullif(F.col("genre"), F.lit("")))), ", ").alias(
             "user_genres"
@@ -36,10 +38,10 @@ def tag_splits(split_rows: DataFrame, test_rows: DataFrame) -> DataFrame:
     return split_rows.select("user_id", "item_id", "label", "split").unionByName(test)
 
 
-def build_examples(rows: DataFrame, profiles: DataFrame, item_features: DataFrame) -> DataFrame:
+def build_examples(rows: DataFrame, profiles: DataFrame, item_features: DataFrame, join: Join = plain_join) -> DataFrame:
     """``user_id, item_id, label, user_genres, item_genre, split``."""
     genres = item_features.select("item_id", F.col("genre").alias("_genre"))
-    joined = rows.join(profiles, "user_id", "left").join(genres, "item_id", "left")
+    joined = join(join(rows, profiles, "user_id", "left"), genres, "item_id", "left")
     return joined.select(
         "user_id",
         "item_id",

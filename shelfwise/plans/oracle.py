@@ -246,6 +246,9 @@ QUERIES = {
     "user_candidates": """
         SELECT * FROM cand_text
         WHERE user_id = (SELECT user_id FROM cand_text GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 1)""",
+    "item_features_skew_safe": "SELECT * FROM item_features",
+    "text_examples_skew_safe": "SELECT * FROM text_examples",
+    "structured_examples_skew_safe": "SELECT * FROM structured_examples",
     "entities_from_files": "SELECT id, prop, id AS place FROM mapping_entities",
     "item_features_from_files": "SELECT * FROM item_features",
     "quoted_features_from_files": """

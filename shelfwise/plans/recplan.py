@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.fixed_values import DEV_FRACTION, MAX_TEXT_TOKENS, SPLIT_SEED
 from shelfwise.operators import examples as ex
-from shelfwise.operators import export, features, metrics, profiles, prompts, scoring, split, truncate
+from shelfwise.operators import export, features, metrics, profiles, prompts, scoring, skew, split, truncate
 from shelfwise.session import materialize
 from shelfwise.sources.fixtures import FixtureViews, build_run_answers
 
@@ -42,6 +42,7 @@ class RecPlan:
         seed: int = SPLIT_SEED,
         max_tokens: int = MAX_TEXT_TOKENS,
         materialize: bool = False,
+        skew_safe: bool = False,
     ):
         self.spark = spark
         self.materialize = materialize
@@ -51,6 +52,7 @@ class RecPlan:
         self.dev_fraction = dev_fraction
         self.seed = seed
         self.max_tokens = max_tokens
+        self.join = skew.skew_join if skew_safe else skew.plain_join
 
     def _stage(self, df: DataFrame) -> DataFrame:
         return materialize(df) if self.materialize else df
@@ -72,7 +74,7 @@ class RecPlan:
     # -- C1 -----------------------------------------------------------------
     @cached_property
     def item_features(self) -> DataFrame:
-        return self._stage(features.item_features(self.views.item_prop, self.views.mapping_entities))
+        return self._stage(features.item_features(self.views.item_prop, self.views.mapping_entities, join=self.join))
 
     @cached_property
     def item_first_publisher(self) -> DataFrame:
@@ -96,13 +98,13 @@ class RecPlan:
     def user_profiles(self) -> DataFrame:
         self._prepare("split_assignment", "item_features")
         train_rows = self.split_assignment.where(F.col("split") == "train")
-        return profiles.user_profiles(train_rows, self.item_features)
+        return profiles.user_profiles(train_rows, self.item_features, self.join)
 
     @cached_property
     def examples(self) -> DataFrame:
         self._prepare("split_assignment", "item_features")
         rows = profiles.tag_splits(self.split_assignment, self.views.raw_test)
-        return self._stage(profiles.build_examples(rows, self.user_profiles, self.item_features))
+        return self._stage(profiles.build_examples(rows, self.user_profiles, self.item_features, self.join))
 
     def examples_split(self, name: str) -> DataFrame:
         return profiles.examples_of(self.examples, name)
@@ -119,11 +121,11 @@ class RecPlan:
     # -- C5-C8 --------------------------------------------------------------
     @cached_property
     def text_examples(self) -> DataFrame:
-        return ex.text_examples(self.examples, self.truncated_texts)
+        return ex.text_examples(self.examples, self.truncated_texts, self.join)
 
     @cached_property
     def structured_examples(self) -> DataFrame:
-        return ex.structured_examples(self.examples, self.item_features)
+        return ex.structured_examples(self.examples, self.item_features, self.join)
 
     @cached_property
     def ranking_candidates_text(self) -> DataFrame:

@@ -33,6 +33,15 @@ def _split(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def _skew_safe(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """The same result by joins that deal hot keys in pieces, over stored stages."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return getattr(RecPlan(spark, sf_dir, materialize=True, skew_safe=True), name)
+
+    run.__name__ = f"{name}_skew_safe"
+    return run
+
+
 def _views(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return getattr(plan_for(spark, sf_dir).views, name)
@@ -57,6 +66,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {n: _attr(n) for n in QUERY_NAMES}
     for s in ("train", "dev", "test"):
         out[f"examples_{s}"] = _split(s)
+    for name in ("item_features", "text_examples", "structured_examples"):
+        out[f"{name}_skew_safe"] = _skew_safe(name)
     out["mapping_entities"] = _views("mapping_entities")
     # Tokenizer-mode truncation: byte-level ids; no SQL oracle (rows only).
     out["truncated_texts_subword"] = _attr("truncated_texts_bytes")
