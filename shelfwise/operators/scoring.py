@@ -85,6 +85,31 @@ def _seq_parts(prompts: DataFrame) -> list[tuple[str, Column, T.DataType]]:
     return [("seq", F.col("seq"), kind)]
 
 
+def score_new_prompts(prompts: DataFrame, scorer: Scorer, ledger: str, balance_partitions: int | None = None) -> DataFrame:
+    """The scores of ``prompts``, of which only those are scored that the ledger doesn't hold.
+
+    ``ledger`` is a folder of scored prompts, ``run_name, user_id, item_id`` and a
+    128-bit digest of what the scorer saw, with its score. New scores are appended as one
+    write, whose files count only when it is complete: a run that is stopped leaves
+    nothing behind, one that is repeated scores nothing twice. Prompts are dealt out
+    by length, so that the batches a model pads hold prompts of like length.
+    """
+    spark = prompts.sparkSession
+    schema = T.StructType([*T.StructType.fromDDL(SCORE_SCHEMA).fields, T.StructField("seen", T.StringType())])
+    seen = F.md5(F.concat_ws("\u0000", F.col("word_pos"), F.col("prompt"))).alias("seen")
+    wanted = prompts.select("run_name", "user_id", "item_id", "prompt", "word_pos", seen)
+    keys = ["run_name", "user_id", "item_id", "seen"]
+    spark.createDataFrame([], schema).write.mode("append").parquet(ledger)
+    known = spark.read.schema(schema).parquet(ledger)
+    new = wanted.join(known.select(*keys), keys, "left_anti").dropDuplicates(keys)
+    parts = balance_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = new.repartition(parts).sortWithinPartitions(F.length("prompt"))
+    scored = score_prompts(dealt.withColumn("seq", F.col("seen")), scorer).withColumnRenamed("seq", "seen")
+    scored.write.mode("append").parquet(ledger)
+    return (wanted.select(*keys).distinct().join(spark.read.schema(schema).parquet(ledger), keys)
+            .select("run_name", "user_id", "item_id", "score"))
+
+
 def latest_scores(scores: DataFrame, seq_col: str = "seq", keys=("run_name", "user_id", "item_id")) -> DataFrame:
     """One score per candidate, the one that comes last in ``seq_col``.
 

@@ -1,21 +1,21 @@
 """C4: truncated text corpus, word mode (native) and tokenizer mode.
 
 Truncation to the first N tokens is the operator (the original's
-``max_seq_length``); every text is read whole and cut by token count.
+``max_seq_length``).
 
 * word mode: whitespace tokens, a JVM regular expression (``truncate_words``);
-* tokenizer mode: a caller-supplied tokenizer runs in ``mapInPandas``, built
-  once per Python worker. ``ByteTokenizer`` (UTF-8 bytes, the byte-level
-  vocabulary of ByT5) needs no model file; ``SentencePieceTokenizer`` wraps a
-  SentencePiece model shipped to the executors with ``SparkContext.addFile``.
+* tokenizer mode: a caller-supplied tokenizer runs in ``mapInArrow``, built once
+  per task. It has ``encode(text, limit)``, which stops after ``limit`` ids, and
+  ``decode(ids)``. ``subword.SubwordTokenizer`` is byte-pair encoding over a vocabulary
+  table; ``ByteTokenizer`` (UTF-8 bytes, the byte-level vocabulary of ByT5) needs no file.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,60 +34,33 @@ class ByteTokenizer:
 
     offset = 3
 
-    def encode(self, text: str) -> list[int]:
-        return [b + self.offset for b in text.encode("utf-8")]
+    def encode(self, text: str, limit: int | None = None) -> list[int]:
+        return [b + self.offset for b in text[:limit].encode("utf-8")[:limit]]
 
     def decode(self, ids: list[int]) -> str:
         return bytes(i - self.offset for i in ids if i >= self.offset).decode("utf-8", errors="ignore")
 
 
-class SentencePieceTokenizer:
-    """SentencePiece model by file name (resolved with SparkFiles on workers)."""
-
-    def __init__(self, model_file: str):
-        self.model_file = model_file
-        self._sp = None
-
-    def _model(self):
-        if self._sp is None:
-            import sentencepiece as spm
-            from pyspark import SparkFiles
-
-            path = self.model_file
-            if not os.path.exists(path):
-                path = SparkFiles.get(os.path.basename(path))
-            self._sp = spm.SentencePieceProcessor(model_file=path)
-        return self._sp
-
-    def encode(self, text: str) -> list[int]:
-        return self._model().encode(text)
-
-    def decode(self, ids: list[int]) -> str:
-        return self._model().decode(ids)
-
-
 def truncate_texts_tokenizer(
     texts: DataFrame,
     tokenizer_factory: Callable[[], object] = ByteTokenizer,
     max_tokens: int = MAX_TEXT_TOKENS,
     with_ids: bool = False,
 ) -> DataFrame:
-    """``item_id, item_text[, input_ids]`` cut to ``max_tokens`` tokenizer ids."""
+    """``item_id, item_text[, input_ids]`` cut to ``max_tokens`` tokenizer ids; a NULL text stays NULL."""
     schema = "item_id bigint, item_text string" + (", input_ids array<int>" if with_ids else "")
+    types = [pa.int64(), pa.string(), pa.list_(pa.int32())]
+    names = ["item_id", "item_text", "input_ids"]
 
-    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer_factory()
         for batch in batches:
-            ids = [None if t is None else tok.encode(t)[:max_tokens] for t in batch["item_text"]]
-            out = {
-                "item_id": batch["item_id"],
-                "item_text": [None if i is None else tok.decode(i) for i in ids],
-            }
-            if with_ids:
-                out["input_ids"] = ids
-            yield pd.DataFrame(out)
-
-    return texts.select("item_id", "item_text").mapInPandas(apply, schema)
+            ids = [None if t is None else tok.encode(t, max_tokens) for t in batch.column("item_text").to_pylist()]
+            columns = [batch.column("item_id").cast(types[0]), pa.array([None if i is None else tok.decode(i) for i in ids], types[1])]
+            columns += [pa.array(ids, types[2])] if with_ids else []
+            yield pa.RecordBatch.from_arrays(columns, names[:len(columns)])
+
+    return texts.select("item_id", "item_text").mapInArrow(apply, schema)
 
 
 def tokenize_prompts(

@@ -26,11 +26,17 @@ from pyspark.sql import functions as F
 
 from shelfwise.fixed_values import DEV_FRACTION, MAX_TEXT_TOKENS, SPLIT_SEED
 from shelfwise.operators import examples as ex
-from shelfwise.operators import export, features, metrics, profiles, prompts, scoring, skew, split, truncate
+from shelfwise.operators import export, features, metrics, profiles, prompts, scoring, skew, split, subword, truncate
 from shelfwise.session import materialize
 from shelfwise.sources.fixtures import FixtureViews, build_run_answers
 
 
+def _public_subwords() -> tuple[str, str]:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
 class RecPlan:
     def __init__(
         self,
@@ -43,6 +49,7 @@ class RecPlan:
         max_tokens: int = MAX_TEXT_TOKENS,
         materialize: bool = False,
         skew_safe: bool = False,
+        subwords: tuple[str, str] | None = None,
     ):
         self.spark = spark
         self.materialize = materialize
@@ -52,6 +59,7 @@ class RecPlan:
         self.dev_fraction = dev_fraction
         self.seed = seed
         self.max_tokens = max_tokens
+        self.subwords = subwords  # vocabulary file and pattern
         self.join = skew.skew_join if skew_safe else skew.plain_join
 
     def _stage(self, df: DataFrame) -> DataFrame:
@@ -115,8 +123,9 @@ class RecPlan:
         return truncate.truncate_texts(self.views.texts, self.max_tokens)
 
     @cached_property
-    def truncated_texts_bytes(self) -> DataFrame:
-        return truncate.truncate_texts_tokenizer(self.views.texts, truncate.ByteTokenizer, self.max_tokens)
+    def truncated_texts_subword(self) -> DataFrame:
+        vocabulary, pattern = self.subwords or _public_subwords()
+        return subword.truncate_texts_subword(self.views.texts, vocabulary, pattern, self.max_tokens).select("item_id", "item_text")
 
     # -- C5-C8 --------------------------------------------------------------
     @cached_property

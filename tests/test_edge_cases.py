@@ -157,6 +157,29 @@ def test_last_score_under_any_partitioning(spark):
     assert scoring.latest_scores(scores.drop("seq")).where("item_id = 5").first()["score"] == 99.0
 
 
+def test_a_second_run_scores_only_what_is_new(spark, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+    ledger = str(tmp_path / "ledger")
+    schema = "run_name string, user_id long, item_id long, prompt string, word_pos string"
+
+    def scorer(batch):
+        calls.add(len(batch))
+        return batch["prompt"].str.len().astype("float64")
+
+    def run(rows):
+        before = calls.value
+        got = sorted(tuple(r) for r in scoring.score_new_prompts(spark.createDataFrame(rows, schema), scorer, ledger).collect())
+        return got, calls.value - before
+
+    first = [("r", 1, 5, "abc", "Yes"), ("r", 1, 6, "abcd", "Yes"), ("r", 1, 6, "abcd", "Yes")]
+    assert run(first) == ([("r", 1, 5, 3.0), ("r", 1, 6, 4.0)], 2)
+    assert run(first) == ([("r", 1, 5, 3.0), ("r", 1, 6, 4.0)], 0)
+    # a changed prompt is scored anew, the old score stays out of the result
+    assert run([*first[:1], ("r", 1, 6, "changed", "Yes"), ("q", 1, 6, "abcd", "Yes")]) == (
+        [("q", 1, 6, 4.0), ("r", 1, 5, 3.0), ("r", 1, 6, 7.0)], 2)
+    assert run([]) == ([], 0)
+
+
 def test_prediction_cleaning_and_accuracy(spark):
     df = spark.createDataFrame([("<pad> Yes</s>", "Yes"), ("Yes", "Yes")], "pred_raw string, label_word string")
     assert [r[0] for r in df.select(clean_prediction(F.col("pred_raw"))).collect()] == ["Yes", ""]

@@ -141,34 +141,6 @@ def test_rerun_replaces_only_its_run(spark):
     assert got == {("r1", 7), ("r2", 5)}
 
 
-def test_sentencepiece_tokenizer_truncation(spark):
-    import sentencepiece as spm
-
-    from shelfwise.operators.truncate import SentencePieceTokenizer, truncate_texts_tokenizer
-    from shelfwise.sources.tables import read_table
-
-    docs = read_table(spark, "/root/testdata/sf0.001", "documents").select(
-        F.col("doc_id").alias("item_id"), F.col("text").alias("item_text")
-    )
-    d = _tmp()
-    corpus = os.path.join(d, "corpus.txt")
-    with open(corpus, "w", encoding="utf-8") as f:  # small training file for the test model
-        for r in docs.limit(50).collect():
-            f.write(r["item_text"].replace("\n", " ")[:2000] + "\n")
-    prefix = os.path.join(d, "sp")
-    spm.SentencePieceTrainer.train(input=corpus, model_prefix=prefix, vocab_size=200, model_type="unigram",
-                                   character_coverage=1.0, minloglevel=2)
-    model = prefix + ".model"
-    spark.sparkContext.addFile(model)
-    out = truncate_texts_tokenizer(docs, lambda: SentencePieceTokenizer(model), max_tokens=16, with_ids=True)
-    rows = out.collect()
-    assert len(rows) == docs.count()
-    sp = spm.SentencePieceProcessor(model_file=model)
-    for r in rows[:20]:
-        assert len(r["input_ids"]) <= 16
-        assert r["item_text"] == sp.decode(r["input_ids"])
-
-
 def test_tokenized_prompt_features(spark):
     from shelfwise.operators.truncate import ByteTokenizer, tokenize_prompts
 
