@@ -1,4 +1,4 @@
-"""The whole recommendation data flow as one lazy DataFrame graph.
+"""The whole recommendation data flow as one DataFrame graph over the raw tables.
 
     item_prop + entities ─ item_features ─┬──────────────────────────────┐
     raw_train ─ assign_split ─ train/dev ─┤                              │
@@ -12,8 +12,9 @@ the shared ``spark.checkpoint.dir`` (as the original pipeline writes interim
 and processed files): lineage is cut, a lost executor never recomputes the
 whole upstream and every later query reads the stored rows. That is the mode
 for a production run at scale. The default keeps one lazy plan per query,
-which lets independent stages run concurrently and is faster for a single
-query on small inputs. Model scores are always materialised (the model must
+which is faster for a single query on small inputs. The raw views
+(interactions, triples, entities) are stored in either mode, as the files they
+stand for. Model scores are always materialised (the model must
 run once per prompt).
 """
 
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,16 +70,19 @@ class RecPlan:
     def _prepare(self, *names: str) -> None:
         """Build independent stages concurrently.
 
-        Building a stage can run Spark jobs (the stored range partitions of a
-        ranking). Independent stages are built from separate driver threads,
-        so their jobs run at the same time on the cluster.
+        The raw views under them are stored when first used. They are built from
+        separate driver threads, which keep the caller's job group, so that
+        their jobs run at the same time on the cluster.
         """
         pending = [n for n in names if n not in self.__dict__]
         if len(pending) > 1:
-            from concurrent.futures import ThreadPoolExecutor
-
-            with ThreadPoolExecutor(len(pending)) as pool:
-                list(pool.map(lambda n: getattr(self, n), pending))
+            threads = [InheritableThread(target=getattr, args=(self, n), session=self.spark) for n in pending]
+            for t in threads:
+                t.start()
+            for t in threads:
+                t.join()
+            for n in pending:  # a failure in a thread comes up here
+                getattr(self, n)
 
     # -- C1 -----------------------------------------------------------------
     @cached_property

@@ -16,6 +16,9 @@ tables, defined once in FIXTURES.md and written below as DataFrame code:
   stand-ins for model output.
 
 Every view scales with the driver tables; nothing is sampled or capped.
+Interactions and triples are files in the original, read by most of its steps;
+here they are written once to the shared folder when they are first used, so that
+the fact table is scanned once for each however many plans need them.
 """
 
 from __future__ import annotations
@@ -94,13 +97,13 @@ def build_entity_src(part: DataFrame, lineitem: DataFrame, supplier: DataFrame)
 
 def build_mapping_entities(entity_src: DataFrame) -> DataFrame:
     """Distinct URIs numbered 1..n in md5 order (distributed row numbering, which reads its input several times)."""
-    props = materialize(entity_src.select("prop").distinct(), "props")
+    props = materialize(entity_src.select("prop").distinct(), "entities")
     ranked = rank_within_groups(props, [], [F.md5(F.col("prop")), F.col("prop")], rank_col="id")
     return ranked.select(F.col("id").cast("long").alias("id"), "prop")
 
 
 class FixtureViews:
-    """Lazily built DataFrames for one scale-factor folder."""
+    """The views of one scale-factor folder, each made when it is first used."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
         self.spark = spark
@@ -112,8 +115,7 @@ class FixtureViews:
 
     @cached_property
     def interactions(self) -> DataFrame:
-        df = build_interactions(self.table("lineitem"), self.table("orders"))
-        return materialize(df) if self.materialize else df
+        return materialize(build_interactions(self.table("lineitem"), self.table("orders")), "interactions")
 
     @cached_property
     def raw_train(self) -> DataFrame:
@@ -125,7 +127,7 @@ class FixtureViews:
 
     @cached_property
     def entity_src(self) -> DataFrame:
-        return build_entity_src(self.table("part"), self.table("lineitem"), self.table("supplier"))
+        return materialize(build_entity_src(self.table("part"), self.table("lineitem"), self.table("supplier")), "triples")
 
     @cached_property
     def mapping_entities(self) -> DataFrame:

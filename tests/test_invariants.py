@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from shelfwise.operators import split
 from shelfwise.operators.ranking import rank_within_groups, rank_within_groups_window
 from shelfwise.plans.recplan import RecPlan
+from shelfwise.sources.fixtures import build_interactions
 
 SF = "/root/testdata/sf0.001"
 
@@ -132,12 +133,18 @@ def test_item_features_join_used_codes_only(spark):
 
 
 def test_parquet_scans_are_pruned(spark):
-    df = RecPlan(spark, SF).examples
+    views = RecPlan(spark, SF).views
+    df = build_interactions(views.table("lineitem"), views.table("orders"))
     text = df._jdf.queryExecution().executedPlan().toString()
     # lineitem is read with three of its eleven columns only
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_returnflag:string>" in text
 
 
+def test_examples_read_the_stored_views_only(spark):
+    text = RecPlan(spark, SF).examples._jdf.queryExecution().executedPlan().toString()
+    assert "l_partkey" not in text and "l_orderkey" not in text
+
+
 def test_materialized_stages_match_lazy_plan(spark):
     lazy = RecPlan(spark, SF, materialize=False)
     stored = RecPlan(spark, SF, materialize=True)
