@@ -3,6 +3,9 @@
 Each stage works on all that the one before it kept; its result is written as
 Parquet to the shared folder and read again as the next stage's documents. The
 last stage returns the packed pieces.
+
+What NULL ids and texts, empty and very long texts, repeated rows, empty tables and
+further columns give is said in ``shelfwise.llm.stages``, stage by stage.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of texts that are equal without white space."""
     return _stages.drop_exact_duplicates(docs)
 
 
@@ -30,10 +34,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of ten words of a benchmark item (the whole item, if shorter)."""
     return _stages.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents' tokens in sequences of at most 4,096."""
     return _stages.pack(docs, _queries.tokenizer_path())
 
 

@@ -157,6 +157,9 @@ def test_stages(spark, docs, none, labels, benchmark, stage):
     if stage == "exact":
         assert [r for r in got if r[0] in (1, 2, 3, 9, 13, 14)] == [r for r in have if r in ((1, "Hello  World"), (13, "x"))] + [(9, "you idiot scum")] or \
             sorted(got, key=str) == sorted({r for r in ROWS if r[0] in (1, 6, 7, 9, 11, 12, 13)} | {(10, PASSAGE)}, key=str)
+    if stage == "toxic":  # rows that repeat a document share its fate; texts without a word share theirs
+        assert all(got.count(r) == have.count(r) for r in got)
+        assert len({(4, None), (5, ""), (6, " \t\n")} & set(got)) in (0, 3)
     if stage == "near":
         assert got.count((9, "you idiot scum")) == 1 and (14, "x") not in got and (13, "x") in got
     if stage == "contaminated":
@@ -164,6 +167,20 @@ def test_stages(spark, docs, none, labels, benchmark, stage):
     assert rows(run(none)) == []
 
 
+def test_packing_stage(docs, none):
+    pieces = stages.pack(docs, tokenizer_path()).collect()
+    by_doc = {}
+    for r in pieces:
+        by_doc.setdefault((r["doc_id"], r["doc_tokens"]), []).append(r)
+    assert {k[0] for k in by_doc} == {r[0] for r in ROWS}
+    for r in ROWS:  # a text without a token is its end token alone
+        if r[1] in (None, "", " \t\n"):
+            assert [p["length"] for p in by_doc[r[0], 1]] == [1]
+    long = [r for (d, _), rs in by_doc.items() if d == 7 for r in rs]
+    assert sum(p["length"] for p in long) == long[0]["doc_tokens"] and all(p["length"] <= 4096 for p in pieces)
+    assert rows(stages.pack(none, tokenizer_path())) == []
+
+
 def test_near_stage_keeps_texts_that_share_an_id(spark):
     """Components whose smallest id is NULL, or an id of several texts, stay apart."""
     other = [" ".join(hashlib.sha256(f"{k} {i}".encode()).hexdigest()[:6] for i in range(40)) for k in range(7)]
