@@ -53,44 +53,38 @@ def _genre_step(text: Column, cold_start: tuple[str, str]) -> Column:
     )
 
 
-_TEXT_TOKEN = re.compile(r"\*(user_id|item_id|item_text|user_genres)\*")
+_TEXT_TOKEN = re.compile(r"\*(user_id|item_id|item_text)\*")
 
 
-def _text_pieces(template: str) -> list[tuple[str, str]] | None:
-    """Split a literal text template into ("lit" | "col", text) pieces.
+def text_pieces(template: str) -> list[tuple[str, int | None]] | None:
+    """A text template as data: ``(text, None)`` or ``('', k)``, the k-th of ``TEXT_PLACEHOLDERS``, in order.
 
-    ``*user_genres*`` stays literal text (the genre step replaces it later).
-    Returns None when a ``*`` outside the placeholder tokens could take part
-    in a match of the sequential replacement; only then would the
-    concatenation not be provably identical to it.
+    ``*user_genres*`` stays text (the genre step replaces it later). None if
+    a ``*`` outside the placeholders could take part in a match of the
+    sequential replacement; only then putting the pieces together isn't provably the same.
     """
     pieces, pos = [], 0
     for m in _TEXT_TOKEN.finditer(template):
-        if template[pos:m.start()]:
-            pieces.append(("lit", template[pos:m.start()]))
-        name = m.group(1)
-        pieces.append(("keep", m.group(0)) if name == "user_genres" else ("col", name))
+        pieces += [(template[pos:m.start()], None), ("", TEXT_PLACEHOLDERS.index(m.group(1)))]
         pos = m.end()
-    if template[pos:]:
-        pieces.append(("lit", template[pos:]))
-    if any(kind == "lit" and "*" in text for kind, text in pieces):
+    pieces.append((template[pos:], None))
+    if any("*" in text.replace("*user_genres*", "") for text, _ in pieces):
         return None
-    return pieces
+    return [p for p in pieces if p != ("", None)]
 
 
-def render_text_template(template: str, cold_start=(COLD_START_PHRASE, COLD_START_REPLACEMENT)) -> Column:
-    """F8 for a literal template, as one ``concat`` plus the genre step.
+def render_pieces(pieces: Column, template: Column, cold_start=(COLD_START_PHRASE, COLD_START_REPLACEMENT)) -> Column:
+    """F8 for a template given as pieces: one higher-order expression, whatever the template, plus the genre step.
 
     Same result as the sequential replacement: the ids contain no ``*``, the
     template has no ``*`` outside its placeholders, and the item text is the
     last value inserted before the genre step, which still scans the whole
-    string (so a ``*user_genres*`` inside an item text is replaced too).
+    string (so a ``*user_genres*`` inside an item text is replaced too). A template
+    without pieces is rendered by nested replacement.
     """
-    pieces = _text_pieces(template)
-    if pieces is None:
-        return render(F.lit(template), TEXT_PLACEHOLDERS, cold_start)
-    cols = [_text_of(text) if kind == "col" else F.lit(text) for kind, text in pieces]
-    return _genre_step(F.concat(*cols) if cols else F.lit(""), cold_start)
+    values = F.array(*[_text_of(name) for name in TEXT_PLACEHOLDERS])
+    joined = F.array_join(F.transform(pieces, lambda p: F.coalesce(F.get(values, p["place"]), p["text"])), "")
+    return F.when(pieces.isNull(), render(template, TEXT_PLACEHOLDERS, cold_start)).otherwise(_genre_step(joined, cold_start))
 
 
 def render_text(template: Column, **kw) -> Column:

@@ -1,9 +1,11 @@
 """Prompts for many runs at once (J9 + F8-F11).
 
-A run is (run_name, kind, template, word_neg, word_pos). The fan-out over runs
-is an ``explode`` of a literal array of run structs: a generator in the same
-stage as the rows it multiplies, no join and no shuffle. A prompt is rendered
-after the fan-out, one at a time, so a row never holds the prompts of all runs.
+A run is (run_name, kind, template, word_neg, word_pos). Runs are data, a one-row
+table with an array of them, each text template parsed once into its pieces; so
+the plan is the same for one run and for thousands. The fan-out is an
+``explode`` of that array (a scalar subquery): a generator in the same stage as the
+rows it multiplies, no join and no shuffle. A prompt is rendered after the
+fan-out, one at a time, so a row never holds the prompts of all runs.
 """
 
 from __future__ import annotations
@@ -11,16 +13,17 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.fixed_values import COLD_START_PHRASE, COLD_START_REPLACEMENT, PROMPT_RUNS
-from shelfwise.functions.prompt import label_word, parse_mapping, render_structured, render_text, render_text_template
+from shelfwise.functions.prompt import label_word, parse_mapping, render_pieces, render_structured, text_pieces
 
 COLD_START = (COLD_START_PHRASE, COLD_START_REPLACEMENT)
-#: Up to so many text templates each get an expression of their own; beyond that one expression reads the template
-#: from its column. Both give the same prompts.
-SPECIALISED = 32
+_RUNS = pa.schema([("runs", pa.list_(pa.struct([
+    ("run_index", pa.int32()), ("run_name", pa.string()), ("template", pa.string()),
+    ("pieces", pa.list_(pa.struct([("text", pa.string()), ("place", pa.int32())]))), ("word_neg", pa.string()), ("word_pos", pa.string())])))])
 
 
 @dataclass(frozen=True)
@@ -48,20 +51,19 @@ def with_runs(df: DataFrame, runs: Iterable[PromptRun], index_col: str | None =
     runs = list(runs)
     if not runs:
         raise ValueError("no prompt runs given")
-    structs = [
-        F.struct(
-            F.lit(i).alias("run_index"),
-            F.lit(r.run_name).alias("run_name"),
-            F.lit(r.template).alias("template"),
-            F.lit(r.word_neg).cast("string").alias("word_neg"),
-            F.lit(r.word_pos).cast("string").alias("word_pos"),
-        )
-        for i, r in enumerate(runs)
-    ]
-    out = df.select("*", F.explode(F.array(*structs)).alias("_run")).select("*", "_run.*").drop("_run")
+    rows = [{"run_index": i, "run_name": r.run_name, "template": r.template, "pieces": _pieces(r), "word_neg": r.word_neg,
+             "word_pos": r.word_pos} for i, r in enumerate(runs)]
+    table = df.sparkSession.createDataFrame(pa.Table.from_pylist([{"runs": rows}], _RUNS))
+    out = df.select("*", table.scalar().alias("_runs")).select(*df.columns, F.explode("_runs").alias("_run"))
+    out = out.select(*df.columns, *[F.col(f"_run.{c}").alias(c) for c in ("run_index", "run_name", "template", "pieces", "word_neg", "word_pos")])
     return out if index_col is None else out.withColumnRenamed("run_index", index_col)
 
 
+def _pieces(run: PromptRun) -> list[dict] | None:
+    pieces = text_pieces(run.template) if run.kind == "text" else None
+    return pieces and [{"text": text, "place": place} for text, place in pieces]
+
+
 def _prompt(runs: list[PromptRun], cold_start: tuple[str, str]) -> F.Column:
     """F8/F9 of the row's run."""
     kinds = {r.kind for r in runs}
@@ -69,18 +71,13 @@ def _prompt(runs: list[PromptRun], cold_start: tuple[str, str]) -> F.Column:
         raise ValueError(f"prompt runs of one kind, text or structured, are needed, not {sorted(kinds)}")
     if kinds == {"structured"}:
         return render_structured(F.col("template"), cold_start=cold_start)
-    if len(runs) > SPECIALISED:
-        return render_text(F.col("template"), cold_start=cold_start)
-    prompt = F.when(F.lit(False), F.lit(""))
-    for i, r in enumerate(runs):
-        prompt = prompt.when(F.col("_run_index") == i, render_text_template(r.template, cold_start))
-    return prompt
+    return render_pieces(F.col("pieces"), F.col("template"), cold_start)
 
 
 def _with_prompts(df: DataFrame, runs: list[PromptRun], cold_start: tuple[str, str]) -> DataFrame:
     """J9 + F8/F9: one row per (input row, run) carrying its rendered prompt."""
     fan = with_runs(df, runs, index_col="_run_index")
-    return fan.withColumn("prompt", _prompt(runs, cold_start)).drop("_run_index", "template")
+    return fan.withColumn("prompt", _prompt(runs, cold_start)).drop("_run_index", "template", "pieces")
 
 
 def training_prompts(examples: DataFrame, runs: Iterable[PromptRun], kind: str,

@@ -220,7 +220,7 @@ def test_unknown_task_raises():
 
 
 def test_concat_rendering_equals_sequential_replacement(spark):
-    from shelfwise.functions.prompt import render_text, render_text_template
+    from shelfwise.functions.prompt import render_pieces, render_text, text_pieces
 
     rows = spark.createDataFrame(
         [(1, 2, "A, B", "has *user_genres* and *item_id*"), (None, 3, "", "x"), (4, 5, "G", "")],
@@ -231,11 +231,11 @@ def test_concat_rendering_equals_sequential_replacement(spark):
         "*item_*user_id*id* odd",        # stray '*': falls back to nested replace
         "no placeholders",
     ]
-    for t in templates:
-        got = rows.select(
-            render_text_template(t).alias("a"), render_text(F.lit(t)).alias("b")
-        ).collect()
-        assert all(r["a"] == r["b"] for r in got), t
+    schema = "template string, pieces array<struct<text:string,place:int>>"
+    data = spark.createDataFrame([(t, text_pieces(t)) for t in [*templates, ""]], schema)
+    got = rows.join(data).select("template", render_pieces(F.col("pieces"), F.col("template")).alias("a"), render_text(F.col("template")).alias("b"))
+    assert got.count() == 3 * (len(templates) + 1) and got.where("NOT a <=> b").isEmpty()
+    assert text_pieces("*item_*user_id*id* odd") is None and text_pieces("x *user_id*") == [("x ", None), ("", 0)]
 
 
 def test_many_runs(spark):
@@ -243,6 +243,8 @@ def test_many_runs(spark):
     runs = [prompts.PromptRun(f"r{i}", "text", f"{i}: *item_text* for *user_id*", "No", "Yes") for i in range(1500)]
     got = {r["run_name"]: (r["prompt"], r["label_word"]) for r in prompts.training_prompts(rows, runs, "text").collect()}
     assert got == {f"r{i}": (f"{i}: text for 1", "Yes") for i in range(1500)}
+    plans = [prompts.training_prompts(rows, runs[:n], "text")._jdf.queryExecution().optimizedPlan().toString() for n in (1, 1500)]
+    assert abs(len(plans[0]) - len(plans[1])) < 50
 
 
 def test_cold_start_parameter(spark):
