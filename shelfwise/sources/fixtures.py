@@ -16,9 +16,9 @@ tables, defined once in FIXTURES.md and written below as DataFrame code:
   stand-ins for model output.
 
 Every view scales with the driver tables; nothing is sampled or capped.
-Interactions and triples are files in the original, read by most of its steps;
-here they are written once to the shared folder when they are first used, so that
-the fact table is scanned once for each however many plans need them.
+Interactions, entities and triples are files in the original, read by most of its
+steps; here they are written once to the shared folder when they are first used, so
+that the fact table is scanned twice however many plans need them.
 """
 
 from __future__ import annotations
@@ -105,10 +105,9 @@ def build_mapping_entities(entity_src: DataFrame) -> DataFrame:
 class FixtureViews:
     """The views of one scale-factor folder, each made when it is first used."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.materialize = materialize
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
@@ -131,13 +130,12 @@ class FixtureViews:
 
     @cached_property
     def mapping_entities(self) -> DataFrame:
-        return build_mapping_entities(self.entity_src)
+        return materialize(build_mapping_entities(self.entity_src), "mapping_entities")
 
     @cached_property
     def item_prop(self) -> DataFrame:
         s, m = self.entity_src, self.mapping_entities
-        df = s.join(m, "prop").select("item_id", "id", "type")
-        return materialize(df) if self.materialize else df
+        return materialize(s.join(m, "prop").select("item_id", "id", "type"), "item_prop")
 
     @cached_property
     def texts(self) -> DataFrame:
