@@ -8,12 +8,15 @@ same answer.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -113,8 +116,17 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         lo = min(hi, n)
 
 
+def lean_memory() -> None:
+    """Let a Python worker give arrays of 1 MB and more back to the system when they are freed (glibc keeps them by
+    a threshold that grows with use); workers live as long as their executor."""
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+
+
 def small_batches(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``SLICE_BYTES`` of text."""
+    if TaskContext.get():
+        lean_memory()
     for batch in batches:
         if batch.num_rows:
             off, _ = texts(batch.column(text))
