@@ -57,8 +57,3 @@ def examples_of(examples: DataFrame, split: str) -> DataFrame:
     return examples.where(F.col("split") == split).select(
         "user_id", "item_id", "label", "user_genres", "item_genre"
     )
-
-
-def sorted_for_output(examples: DataFrame) -> DataFrame:
-    """O1: (user, item) order for file output without a global sort stage."""
-    return examples.repartitionByRange("user_id", "item_id").sortWithinPartitions("user_id", "item_id")
