@@ -117,15 +117,17 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
 
 
 def lean_memory() -> None:
-    """Let a Python worker give arrays of 1 MB and more back to the system when they are freed (glibc keeps them by
-    a threshold that grows with use); workers live as long as their executor."""
+    """In a task: let the Python worker give arrays of 1 MB and more back to the system when they are freed (glibc keeps
+    them by a threshold that grows with use); workers live as long as their executor."""
+    if not TaskContext.get():
+        return
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
 
 
-def small_batches(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most ``SLICE_BYTES`` of text."""
-    if TaskContext.get():
+def small_batches(batches: Iterable[pa.RecordBatch], text: str = "text", lean: bool = False) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``SLICE_BYTES`` of text; ``lean``, where memory is scarcer than time, calls ``lean_memory``."""
+    if lean:
         lean_memory()
     for batch in batches:
         if batch.num_rows:

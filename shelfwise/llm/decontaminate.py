@@ -105,7 +105,7 @@ def _scan(docs: DataFrame, shared, *, flags: bool) -> DataFrame:
     """``ord, h, n_words, items`` and, with ``flags``, the hit words as a bit per word."""
     def run(batches):
         known = WindowSet(shared.value)
-        for b in small_batches(batches):
+        for b in small_batches(batches, lean=True):
             joined = [words(t) for t in byte_list(b.column("text"))]
             data = b"".join(j + b" " if j else b"" for j in joined)
             buf = np.frombuffer(data, np.uint8)

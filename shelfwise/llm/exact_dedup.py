@@ -39,7 +39,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     schema = "ord long, h long, points long, sha binary"
 
     def run(batches):
-        for b in small_batches(batches):
+        for b in small_batches(batches, lean=True):
             sha = [hashlib.sha256(t.translate(None, _BLANKS)).digest() for t in byte_list(b.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [b.column("ord"), b.column("h"), pc.utf8_length(b.column("text")).cast(pa.int64()), pa.array(sha, pa.binary())],

@@ -168,7 +168,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int =
     def run(batches):
         tok = CachedTokenizer(tokenizer_path)
         task, first, held, tokens = TaskContext.get().partitionId(), 0, [], 0
-        for b in small_batches(batches):
+        for b in small_batches(batches, lean=True):
             for o, text in zip(b.column("ord").to_pylist(), byte_list(b.column("text"))):
                 ids = tok.encode(text) + end
                 held.append((o, ids))

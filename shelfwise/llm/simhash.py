@@ -60,7 +60,7 @@ def fingerprint(text: bytes, words: int = 3) -> int:
 def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``ord, h, fp`` (signed 64-bit) of every row."""
     def run(batches):
-        for b in small_batches(batches):
+        for b in small_batches(batches, lean=True):
             fps = np.array([fingerprint(t, words) for t in byte_list(b.column("text"))], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column("ord"), b.column("h"), pa.array(fps.view(np.int64))], ["ord", "h", "fp"])
 

@@ -271,7 +271,7 @@ def tag(docs: DataFrame, model: Field, id_col: str = "doc_id", text_col: str = "
 
     def run(batches):
         fitted = shared.value
-        for b in small_batches(batches):
+        for b in small_batches(batches, lean=True):
             texts = byte_list(b.column("text"))
             t = Tokens.of(texts)
             p, _, _ = fitted.expectations(t)
