@@ -28,18 +28,27 @@ from shelfwise.sources.records import read_records
 def _number(part: Column, kind: str, bad: Column, required: bool = True) -> Column:
     """The id in ``part``; what isn't one raises the error ``bad``. A missing one is NULL unless ``required``.
 
-    Columns that the original infers hold whole floats where values are missing.
+    Columns that the original infers hold whole floats where values are missing. The pattern is tried only
+    where a whole number's plain cast fails.
     """
     given = part if required else na_to_null(part)
     value = F.regexp_replace(given, r"\.0*$", "").try_cast(kind)
-    wrong = value.isNull() if required else given.isNotNull() & value.isNull()
-    return F.when(wrong, F.raise_error(bad).cast(kind)).otherwise(value)
+    if kind in ("bigint", "int"):
+        value = F.coalesce(given.try_cast(kind), value)
+    error = F.raise_error(bad).cast(kind)
+    return F.coalesce(value, error if required else F.when(given.isNotNull(), error))
 
 
 def _typed(rows: DataFrame, fields: Column, where: Column, schema: T.StructType, required: Sequence[str], *keep: str) -> DataFrame:
-    """The columns of ``schema`` from an array of fields; too many fields are an error, missing ones are NULL."""
-    bad = F.concat(F.lit("malformed line in "), where, F.lit(": "), F.array_join(fields, "\t"))
+    """The columns of ``schema`` from an array of fields; too many fields are an error, missing ones are NULL.
+
+    The array is generated as one row of parts, so that a line is cut once, whatever
+    is asked of its columns (a filter on one would otherwise cut it again for each mention).
+    """
     n = len(schema.fields)
+    rows = rows.select("*", F.explode(F.array(fields)).alias("_fields"))
+    fields = F.col("_fields")
+    bad = F.concat(F.lit("malformed line in "), where, F.lit(": "), F.array_join(fields, "\t"))
     out = []
     for i, f in enumerate(schema.fields):
         part = F.when(F.size(fields) > n, F.raise_error(bad).cast("string")).otherwise(F.get(fields, F.lit(i)))
@@ -67,7 +76,9 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, required: S
 def read_ids(spark: SparkSession, path: str, schema: T.StructType, required: Sequence[str] = ()) -> DataFrame:
     """A table of numbers only, read as lines; blank ones are skipped, quotes around a number are dropped."""
     lines = _raw_lines(spark, path).where(F.trim("line") != "")
-    fields = F.transform(F.split("line", "\t"), lambda x: F.regexp_replace(x, '^"(.*)"$', "$1"))
+    parts = F.split("line", "\t")
+    bare = F.transform(parts, lambda x: F.regexp_replace(x, '^"(.*)"$', "$1"))
+    fields = F.when(F.contains(F.col("line"), F.lit('"')), bare).otherwise(parts)
     return _typed(lines, fields, F.col("file"), schema, required)
 
 
@@ -78,9 +89,9 @@ def read_interactions(spark: SparkSession, path: str) -> DataFrame:
 
 def read_splits(spark: SparkSession, path: str) -> DataFrame:
     """S1 of what ``write_splits`` wrote: interactions with the ``split`` of their folder."""
-    lines = _raw_lines(spark, path).where(F.trim("line") != "")
-    split = F.regexp_extract("file", r"/split=([^/]+)/[^/]*$", 1)
-    return _typed(lines.withColumn("split", split), F.split("line", "\t"), F.col("file"), schemas.INTERACTIONS, (), "split")
+    lines = spark.read.schema("value string, split string").text(path).select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), "split").where(F.trim("line") != "")
+    return _typed(lines, F.split("line", "\t"), F.col("file"), schemas.INTERACTIONS, (), "split")
 
 
 def read_ground_truth(spark: SparkSession, path: str) -> DataFrame:
