@@ -33,6 +33,9 @@ from shelfwise.operators.ranking import rank_within_groups
 from shelfwise.session import materialize
 from shelfwise.sources.tables import read_table
 
+#: Rows that a task gets of what is dealt by a number of tasks that follows the table's length.
+ROWS_A_TASK = 500_000
+
 
 def build_interactions(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     li = lineitem.select(
@@ -86,13 +89,21 @@ def build_entity_src(part: DataFrame, lineitem: DataFrame, supplier: DataFrame)
         .select("item_id", F.col("t.type").alias("type"), F.col("t.prop").alias("prop"))
     )
     # Publisher: one entity per supplier of the part. Reduce lineitem to its
-    # distinct (part, supplier) pairs first (partial aggregation map-side).
-    pairs = lineitem.select("l_partkey", "l_suppkey").distinct()
+    # distinct (part, supplier) pairs first. They are nearly as many as the lines, so
+    # both distincts are dealt to tasks whose number follows the lines: a task's
+    # hash tables stay the same size however long the table is.
+    tasks = _tasks(lineitem)
+    pairs = lineitem.select("l_partkey", "l_suppkey").repartition(tasks, "l_partkey", "l_suppkey").distinct()
     sup = supplier.select("s_suppkey", "s_name")
     publisher = pairs.join(sup, pairs["l_suppkey"] == sup["s_suppkey"]).select(
         F.col("l_partkey").alias("item_id"), F.lit(5).alias("type"), res(F.col("s_name")).alias("prop")
     )
-    return from_part.unionByName(publisher).distinct()
+    return from_part.unionByName(publisher).repartition(tasks, "item_id", "type", "prop").distinct()
+
+
+def _tasks(df: DataFrame) -> int:
+    """How many tasks take ``ROWS_A_TASK`` rows of ``df`` each, but no fewer than a shuffle has (the count comes from the files' footers)."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS_A_TASK))
 
 
 def build_mapping_entities(entity_src: DataFrame) -> DataFrame:
