@@ -43,6 +43,18 @@ def _entities(entities: DataFrame, entity_order: str | None) -> DataFrame:
     return entities.select("id", "prop", *extra)
 
 
+def _first_ids(triples: DataFrame, entities: DataFrame, join: Join) -> DataFrame:
+    """``triples`` without those that can't be an item's first of their code, where the entity id is the order.
+
+    The smallest id that has a URI is found by numbers alone, before any URI is joined or
+    aggregated; subjects all stay.
+    """
+    known = entities.where(F.col("prop").isNotNull()).select("id").distinct()
+    single = join(triples.where(F.col("type") != PROP_SUBJECT), known, "id", "inner")
+    first = single.groupBy("item_id", "type").agg(F.min("id").alias("id"))
+    return first.select("item_id", "id", "type").unionByName(triples.where(F.col("type") == PROP_SUBJECT))
+
+
 def item_features(
     item_prop: DataFrame,
     entities: DataFrame,
@@ -63,7 +75,10 @@ def item_features(
     ents = _entities(entities, entity_order)
     # Only triples of used codes meet the entities (the filter reaches the scan);
     # items without any are kept by a bare row each, distinct before its shuffle.
-    joined = join(triples.where(F.col("type").isin(*used)), ents, "id", "inner")
+    triples = triples.where(F.col("type").isin(*used))
+    if not entity_order and not triple_order:
+        triples = _first_ids(triples, ents, join)
+    joined = join(triples, ents, "id", "inner")
     typ, prop = F.col("type"), F.col("prop")
     # One cleaned value and one order key per triple, computed before the
     # aggregation instead of once per aggregate function.
