@@ -34,6 +34,8 @@ from shelfwise.llm.labelled import held_out, logistic, sample
 BITS = 20
 GRAM = 5
 BLOCK = 64
+#: Tokens, or numbers, for which sums are made at once.
+AT_ONCE = 1 << 17
 #: Places of a word or gram in one text that count when labels are given to tokens.
 OFTEN = 16
 #: Same length as the input: lower-cases A-Z, blanks all ASCII but letters and digits.
@@ -133,9 +135,17 @@ class Field:
     curve: np.ndarray | None = None
 
     def energies(self, t: Tokens, starts: np.ndarray) -> np.ndarray:
-        sums = np.concatenate([[0.0], np.cumsum(self.gram[t.grams], dtype=np.float64)])
+        e = (self.own[t.words] + self.bias).astype(np.float64)
         lo, hi = t.gram_bounds()
-        e = self.own[t.words] + self.bias + sums[hi] - sums[lo]
+        total = 0.0
+        for i in range(0, len(e), AT_ONCE):  # running sums of the grams, of some tokens at once
+            j = min(i + AT_ONCE, len(e))
+            first, end = lo[i] if i else 0, lo[j] if j < len(e) else hi[-1]
+            sums = np.empty(end - first + 1)
+            sums[0], sums[1:] = total, self.gram[t.grams[first:end]]
+            np.cumsum(sums, out=sums)
+            e[i:j] = e[i:j] + sums[hi[i:j] - first] - sums[lo[i:j] - first]
+            total = sums[-1]
         e[1:] += np.where(starts[1:], 0, self.before[t.words[:-1]])
         e[:-1] += np.where(starts[1:], 0, self.after[t.words[1:]])
         return np.clip(e, -25, 25)
@@ -181,13 +191,34 @@ class Field:
         return 1 / (1 + np.exp(-np.clip(x @ self.curve[:-1] + self.curve[-1], -30, 30)))
 
 
-def _support(doc: np.ndarray, number: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """In how many toxic and in how many clean texts each number occurs, and how often (at most ``OFTEN`` times a text)."""
-    seen, times = np.unique(doc.astype(np.int64) << BITS | number, return_counts=True)
-    label, number = y[seen >> BITS], seen & ((1 << BITS) - 1)
-    times = np.minimum(times, OFTEN)
-    return (*(np.bincount(number[label == k], minlength=1 << BITS) for k in (1, 0)),
-            *(np.bincount(number[label == k], times[label == k], 1 << BITS) for k in (1, 0)))
+def _support(first: np.ndarray, number: np.ndarray, y: np.ndarray,
+             at_once: int = AT_ONCE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """In how many toxic and in how many clean texts each number occurs, and how often (at most ``OFTEN`` times a text).
+
+    ``first`` is the place of each text's first number, and the end. Some texts are counted at once, with
+    about ``at_once`` numbers together: counting needs some fifty bytes a number.
+    """
+    out = tuple(np.zeros(1 << BITS, kind) for kind in (np.int64, np.int64, np.float64, np.float64))
+    lo = 0
+    while lo < len(y):
+        hi = max(lo + 1, int(np.searchsorted(first, first[lo] + at_once, "right")) - 1)
+        hi = min(hi, len(y))
+        doc = np.repeat(np.arange(lo, hi), np.diff(first[lo:hi + 1]))
+        seen, times = np.unique(doc << BITS | number[first[lo]:first[hi]], return_counts=True)
+        label, of = y[seen >> BITS], seen & ((1 << BITS) - 1)
+        times = np.minimum(times, OFTEN)
+        for total, k, weights in zip(out, (1, 0, 1, 0), (None, None, times, times)):
+            total += np.bincount(of[label == k], None if weights is None else weights[label == k], 1 << BITS)
+        lo = hi
+    return out
+
+
+def _sums(number: np.ndarray, gap: np.ndarray, of: np.ndarray, at_once: int = 1 << 20) -> np.ndarray:
+    """The sum of ``gap[of]`` per number, without an array of all of them; few numbers are counted at once."""
+    out = np.zeros(1 << BITS)
+    for lo in range(0, len(number), at_once):
+        out += np.bincount(number[lo:lo + at_once], gap[of[lo:lo + at_once]], 1 << BITS)
+    return out
 
 
 def _telling(toxic: np.ndarray, clean: np.ndarray, often: np.ndarray, seldom: np.ndarray, y: np.ndarray,
@@ -212,14 +243,18 @@ def fit(texts: list[bytes], y: np.ndarray, odds: float = 0.0, rounds: int = 40,
     lo, hi = t.gram_bounds()
     size = hi - lo
     token = np.repeat(np.arange(len(t.words), dtype=np.int32), size)
-    grams = t.grams[np.repeat(lo - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())]
-    word_counts, gram_counts = _support(doc, t.words, labels), _support(doc[token], grams, labels)
+    place = np.repeat((lo - np.concatenate([[0], np.cumsum(size)[:-1]])).astype(np.int32), size)
+    place += np.arange(size.sum(), dtype=np.int32)
+    grams = t.grams[place]
+    del place
+    word_counts, gram_counts = _support(t.first, t.words, labels), _support(np.concatenate([[0], np.cumsum(size)])[t.first], grams, labels)
     named = _telling(*word_counts, labels)[t.words]
-    named |= np.bincount(token[_telling(*gram_counts, labels)[grams]], minlength=len(named)) > 0
+    named[token[_telling(*gram_counts, labels)[grams]]] = True
     truth = named & (labels[doc] == 1)
     # A number of few texts would only be learnt by heart.
     words_used, grams_used = sum(word_counts[:2]) >= 5, sum(gram_counts[:2]) >= 5
     near_used = sum(word_counts[:2]) >= 50
+    del word_counts, gram_counts
     state = truth.astype(np.int64)
     inner = np.flatnonzero(~starts)
     couples = np.bincount(2 * state[inner - 1] + state[inner], minlength=4).reshape(2, 2)
@@ -233,7 +268,7 @@ def fit(texts: list[bytes], y: np.ndarray, odds: float = 0.0, rounds: int = 40,
         gap = truth - p
         for name, of, number, used in uses:
             weight = getattr(model, name)
-            grad = (np.bincount(number, gap[of], 1 << BITS) - ridge * (y == 1).sum() * weight) * used
+            grad = (_sums(number, gap, of) - ridge * (y == 1).sum() * weight) * used
             sums[name] += grad * grad
             weight += (rate * grad / np.sqrt(sums[name])).astype(np.float32)
         for value, grad, total in ((model.steps, couples - pairs, step_sum), (model.begin, firsts - begins, begin_sum)):
