@@ -26,7 +26,8 @@ from shelfwise.functions.text import truncate_words
 
 def truncate_texts(texts: DataFrame, max_tokens: int = MAX_TEXT_TOKENS) -> DataFrame:
     """``item_id, item_text`` with at most ``max_tokens`` words per text."""
-    return texts.select("item_id", truncate_words(F.col("item_text"), max_tokens).alias("item_text"))
+    # made by a generator, below which no later filter goes: a text is cut once, not again for the filter
+    return texts.select("item_id", F.explode(F.array(truncate_words(F.col("item_text"), max_tokens))).alias("item_text"))
 
 
 class ByteTokenizer:
