@@ -41,7 +41,8 @@ def tag_splits(split_rows: DataFrame, test_rows: DataFrame) -> DataFrame:
 def build_examples(rows: DataFrame, profiles: DataFrame, item_features: DataFrame, join: Join = plain_join) -> DataFrame:
     """``user_id, item_id, label, user_genres, item_genre, split``."""
     genres = item_features.select("item_id", F.col("genre").alias("_genre"))
-    joined = join(join(rows, profiles, "user_id", "left"), genres, "item_id", "left")
+    # one row a user: the first join leaves the items as often as they are in ``rows``
+    joined = join(join(rows, profiles, "user_id", "left"), genres, "item_id", "left", like=rows)
     return joined.select(
         "user_id",
         "item_id",

@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: ``(probe, build, key, how) -> joined``: the operators that look something up by a key take one.
-Join = Callable[[DataFrame, DataFrame, str, str], DataFrame]
+#: ``like`` names a table to read the probe's hot keys from, where the probe itself is dear to compute.
+Join = Callable[..., DataFrame]
 
 HOT_KEYS = 256
 _COUNTERS = 32 * HOT_KEYS
@@ -42,15 +43,17 @@ def hot_keys(probe: DataFrame, key: str, partitions: int | None = None) -> list[
     return [(t["item"], math.ceil(t["count"] / piece)) for t in top or [] if t["count"] > piece]
 
 
-def skew_join(probe: DataFrame, build: DataFrame, key: str, how: str = "left", hot: list[tuple[object, int]] | None = None) -> DataFrame:
+def skew_join(probe: DataFrame, build: DataFrame, key: str, how: str = "left", hot: list[tuple[object, int]] | None = None,
+              like: DataFrame | None = None) -> DataFrame:
     """``probe`` joined with ``build`` on ``key``, ``how`` being ``left`` or ``inner``.
 
     The result equals the plain join's, whatever ``hot`` names: a key there is a
-    question of where rows meet. Columns: those of ``probe``, then the others of ``build``.
+    question of where rows meet. They are read from ``like`` if given, else from the probe, which
+    is then computed twice. Columns: those of ``probe``, then the others of ``build``.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"left or inner join, not {how}")
-    hot = hot_keys(probe, key) if hot is None else hot
+    hot = hot_keys(probe if like is None else like, key) if hot is None else hot
     schema = T.StructType([T.StructField(key, probe.schema[key].dataType), T.StructField("_pieces", T.IntegerType())])
     pieces = F.broadcast(probe.sparkSession.createDataFrame(hot, schema))
     n = F.coalesce("_pieces", F.lit(1))
@@ -65,5 +68,5 @@ def skew_join(probe: DataFrame, build: DataFrame, key: str, how: str = "left", h
     return out.unionByName(probe.where(F.col(key).isNull()), allowMissingColumns=True)
 
 
-def plain_join(probe: DataFrame, build: DataFrame, key: str, how: str = "left") -> DataFrame:
+def plain_join(probe: DataFrame, build: DataFrame, key: str, how: str = "left", like: DataFrame | None = None) -> DataFrame:
     return probe.join(build, key, how)

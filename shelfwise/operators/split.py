@@ -7,10 +7,11 @@ independent pseudo-random order that is engine- and partitioning-neutral.
 Rows are never matched by value: duplicated (user, item) rows stay distinct.
 Rows with a NULL user always stay in train.
 
-A user's rows are never in one task: the order key is a hash, so its first two
-hex digits deal a user's rows evenly over 256 buckets. Rows are ranked inside
-their (user, bucket); the rows in smaller buckets come from a table of counts
-with at most 256 rows a user.
+A hot user's rows are never in one task: the order key is a hash, so its first two
+hex digits deal the rows of a user with more than ``HOT_ROWS`` evenly over 256 buckets. Rows are
+ranked inside their (user, bucket); the rows in smaller buckets come from a table of
+counts with at most 256 rows a hot user. Other users have one bucket and need none.
+Hot users are fewer than one in ``HOT_ROWS`` rows.
 """
 
 from __future__ import annotations
@@ -21,6 +22,9 @@ from pyspark.sql import functions as F
 from shelfwise.fixed_values import DEV_FRACTION, SPLIT_SEED
 from shelfwise.operators.ranking import rank_within_groups_window
 
+#: Rows of a user that one task ranks at once.
+HOT_ROWS = 10_000
+
 
 def sample_key(seed: int) -> Column:
     return F.md5(
@@ -30,15 +34,19 @@ def sample_key(seed: int) -> Column:
 
 def _ranked_by_bucket(rows: DataFrame, seed: int) -> DataFrame:
     """``rows`` with ``_rk``, the place in the user's order, and ``_n``, the user's rows."""
-    keyed = rows.withColumn("_key", sample_key(seed)).withColumn("_bucket", F.substring("_key", 1, 2))
+    hot = rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("_all")).where(F.col("_all") > HOT_ROWS)
+    keyed = rows.join(F.broadcast(hot), "user_id", "left").withColumn("_key", sample_key(seed))
+    keyed = keyed.withColumn("_bucket", F.when(F.col("_all").isNotNull(), F.substring("_key", 1, 2)).otherwise(""))
     by_user = Window.partitionBy("user_id").orderBy("_bucket")
-    counts = keyed.groupBy("user_id", "_bucket").agg(F.count("*").alias("_here")).select(
+    # at most 256 rows a hot user
+    counts = keyed.where(F.col("_all").isNotNull()).groupBy("user_id", "_bucket").agg(F.count("*").alias("_here")).select(
         "user_id", "_bucket",
         (F.sum("_here").over(by_user.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_here")).alias("_before"),
-        F.sum("_here").over(by_user.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_n"),
     )
-    inside = Window.partitionBy("user_id", "_bucket").orderBy("_key", "item_id", "label")
-    return keyed.join(counts, ["user_id", "_bucket"]).withColumn("_rk", F.col("_before") + F.row_number().over(inside))
+    one = Window.partitionBy("user_id", "_bucket")
+    placed = keyed.withColumn("_rk", F.row_number().over(one.orderBy("_key", "item_id", "label")))
+    placed = placed.withColumn("_n", F.coalesce("_all", F.count("*").over(one)))
+    return placed.join(counts, ["user_id", "_bucket"], "left").withColumn("_rk", F.coalesce("_before", F.lit(0)) + F.col("_rk"))
 
 
 def assign_split(
