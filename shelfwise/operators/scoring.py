@@ -1,8 +1,8 @@
 """Batch scoring with a pluggable scorer (X1) and per-user ranking.
 
-The scorer is the only Python in the hot path: ``mapInPandas`` hands it Arrow
-batches (``spark.sql.execution.arrow.maxRecordsPerBatch`` rows) of
-``run_name, user_id, item_id, prompt, word_pos`` and expects one float per row,
+The scorer is the only Python in the hot path: it gets pandas batches of
+``run_name, user_id, item_id, prompt, word_pos`` (an Arrow batch of
+``spark.sql.execution.arrow.maxRecordsPerBatch`` rows, in pieces of ``BATCH_BYTES``) and gives one float per row,
 the score of the run's positive answer word. Model state belongs in the
 scorer object and is built lazily once per Python worker.
 
@@ -16,6 +16,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +29,9 @@ SCORE_SCHEMA = "run_name string, user_id bigint, item_id bigint, score double"
 
 Scorer = Callable[[pd.DataFrame], "pd.Series"]
 
+#: Bytes of prompts that a scorer gets at once: what a Python worker holds follows from it, not from the length of the texts.
+BATCH_BYTES = 1 << 20
+
 
 class StubScorer:
     """Deterministic stand-in for a language model, used by tests and bench.
@@ -57,24 +62,37 @@ def score_prompts(prompts: DataFrame, scorer: Scorer, balance_partitions: int |
         src = src.repartition(int(balance_partitions))
     schema = T.StructType([*T.StructType.fromDDL(SCORE_SCHEMA).fields, *[T.StructField(f"_seq_{n}", t) for n, _, t in parts]])
 
-    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = pd.Series(list(scorer(batch[cols])), dtype="float64")
-            if len(score) != len(batch):
-                raise ValueError(f"the scorer returned {len(score)} scores for {len(batch)} prompts")
-            if score.isna().any():
-                raise ValueError("the scorer returned a missing score")
-            keys = batch.drop(columns=["prompt", "word_pos"])
-            keys.insert(3, "score", score.to_numpy())
-            yield keys
-
-    out = src.mapInPandas(apply, schema)
+            for rows in _in_bytes(batch):
+                score = pd.Series(list(scorer(rows.select(cols).to_pandas())), dtype="float64")
+                if len(score) != len(rows):
+                    raise ValueError(f"the scorer returned {len(score)} scores for {len(rows)} prompts")
+                if score.isna().any():
+                    raise ValueError("the scorer returned a missing score")
+                keys = rows.drop_columns(["prompt", "word_pos"])
+                yield keys.add_column(3, "score", pa.array(score, pa.float64()))
+                del rows, keys, score
+            del batch
+            pa.default_memory_pool().release_unused()
+
+    out = src.mapInArrow(apply, schema)
     if not parts:
         return out
     names = [F.col(f"_seq_{n}").alias(n) for n, _, _ in parts]
     return out.select("run_name", "user_id", "item_id", "score", (F.struct(*names) if len(parts) > 1 else names[0]).alias("seq"))
 
 
+def _in_bytes(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """``batch`` in pieces with some ``BATCH_BYTES`` of prompts each; a longer single prompt stands alone."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("prompt")), 0).to_numpy(zero_copy_only=False).astype("int64")
+    piece = (sizes.cumsum() - sizes) // BATCH_BYTES
+    cuts = [0, *(piece[1:] != piece[:-1]).nonzero()[0] + 1, len(batch)]
+    for start, end in zip(cuts, cuts[1:]):
+        if end > start:
+            yield batch.slice(start, end - start)
+
+
 def _seq_parts(prompts: DataFrame) -> list[tuple[str, Column, T.DataType]]:
     """The fields of ``seq`` as flat columns, which cross to Python without a struct per row."""
     if "seq" not in prompts.columns:
