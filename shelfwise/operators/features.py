@@ -17,6 +17,8 @@ beside it, and one conditional aggregation per item.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,8 @@ from shelfwise.fixed_values import (
 from shelfwise.functions.uri import clean_genre, clean_subject, strip_resource
 from shelfwise.operators.skew import Join, plain_join
 
+CODES = (PROP_AUTHOR, PROP_SERIES, PROP_GENRE, PROP_PUBLISHER, PROP_SUBJECT)
+
 
 def _order_key(entity_order: str | None, triple_order: str | None) -> Column:
     fields = [F.col("_eo" if entity_order else "id").alias("e")]
@@ -61,24 +65,24 @@ def item_features(
     entity_order: str | None = None,
     triple_order: str | None = None,
     join: Join = plain_join,
+    codes: Collection[int] = CODES,
 ) -> DataFrame:
-    """Return ``item_id, author, genre, series, publisher, subject``.
+    """Return ``item_id, author, genre, series, publisher, subject``; features of other than ``codes`` are NULL.
 
     ``item_prop``: item_id, id, type [, triple_order]; ``entities``: id, prop
     [, entity_order]. Duplicate entity ids multiply rows, as a relational join
     does (subjects then repeat).
     """
-    used = (PROP_AUTHOR, PROP_SERIES, PROP_GENRE, PROP_PUBLISHER, PROP_SUBJECT)
     triples = item_prop.select(
         "item_id", "id", "type", *([F.col(triple_order).alias("_to")] if triple_order else [])
     )
     ents = _entities(entities, entity_order)
     # Only triples of used codes meet the entities (the filter reaches the scan);
     # items without any are kept by a bare row each, distinct before its shuffle.
-    triples = triples.where(F.col("type").isin(*used))
+    triples = used = triples.where(F.col("type").isin(*codes))
     if not entity_order and not triple_order:
         triples = _first_ids(triples, ents, join)
-    joined = join(triples, ents, "id", "inner")
+    joined = join(triples, ents, "id", "inner", like=used)
     typ, prop = F.col("type"), F.col("prop")
     # One cleaned value and one order key per triple, computed before the
     # aggregation instead of once per aggregate function.
@@ -116,6 +120,8 @@ def first_publisher(item_prop: DataFrame, entities: DataFrame, entity_order: str
     """A2 alone: ``item_id, publisher`` for items with at least one publisher."""
     pubs = item_prop.where(F.col("type") == PROP_PUBLISHER).select("item_id", "id")
     ents = _entities(entities, entity_order)
+    if not entity_order:  # the first id by numbers alone, before any URI is joined
+        pubs = pubs.join(ents.select("id").distinct(), "id").groupBy("item_id").agg(F.min("id").alias("id"))
     order = _order_key(entity_order, None)
     return pubs.join(ents, "id").groupBy("item_id").agg(
         F.min_by(strip_resource(F.col("prop")), order).alias("publisher")

@@ -13,8 +13,8 @@ and processed files): lineage is cut, a lost executor never recomputes the
 whole upstream and every later query reads the stored rows. That is the mode
 for a production run at scale. The default keeps one lazy plan per query,
 which is faster for a single query on small inputs. The raw views
-(interactions, triples, entities) are stored in either mode, as the files they
-stand for. Model scores are always materialised (the model must
+(interactions, triples, entities), the split and the genres under the examples are
+stored in either mode, as the files they stand for. Model scores are always materialised (the model must
 run once per prompt).
 """
 
@@ -26,7 +26,7 @@ from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.fixed_values import DEV_FRACTION, MAX_TEXT_TOKENS, SPLIT_SEED
+from shelfwise.fixed_values import DEV_FRACTION, MAX_TEXT_TOKENS, PROP_GENRE, SPLIT_SEED
 from shelfwise.operators import examples as ex
 from shelfwise.operators import export, features, metrics, profiles, prompts, scoring, skew, split, subword, truncate
 from shelfwise.session import materialize
@@ -97,11 +97,22 @@ class RecPlan:
     def item_subjects(self) -> DataFrame:
         return features.item_subjects(self.views.item_prop, self.views.mapping_entities)
 
+    @cached_property
+    def item_genres(self) -> DataFrame:
+        """``item_id, genre`` of the features, from triples of that code alone; stored, profiles and examples read it."""
+        made = features.item_features(self.views.item_prop, self.views.mapping_entities, join=self.join, codes=(PROP_GENRE,))
+        return materialize(made.select("item_id", "genre"), "genres")
+
     # -- C2 -----------------------------------------------------------------
     @cached_property
     def split_assignment(self) -> DataFrame:
         return self._stage(split.assign_split(self.views.raw_train, self.dev_fraction, self.seed))
 
+    @cached_property
+    def split_rows(self) -> DataFrame:
+        """The split as a stored table, which profiles and examples read."""
+        return self.split_assignment if self.materialize else materialize(self.split_assignment, "split")
+
     @cached_property
     def split_counts_by_user(self) -> DataFrame:
         return split.split_counts_by_user(self.split_assignment)
@@ -109,15 +120,19 @@ class RecPlan:
     # -- C3 -----------------------------------------------------------------
     @cached_property
     def user_profiles(self) -> DataFrame:
-        self._prepare("split_assignment", "item_features")
-        train_rows = self.split_assignment.where(F.col("split") == "train")
-        return profiles.user_profiles(train_rows, self.item_features, self.join)
+        self._prepare("split_rows", "item_genres")
+        train_rows = self.split_rows.where(F.col("split") == "train")
+        return profiles.user_profiles(train_rows, self.item_genres, self.join)
 
     @cached_property
     def examples(self) -> DataFrame:
-        self._prepare("split_assignment", "item_features")
-        rows = profiles.tag_splits(self.split_assignment, self.views.raw_test)
-        return self._stage(profiles.build_examples(rows, self.user_profiles, self.item_features, self.join))
+        self._prepare("split_rows", "item_genres")
+        rows = profiles.tag_splits(self.split_rows, self.views.raw_test)
+        return self._stage(profiles.build_examples(rows, self.user_profiles, self.item_genres, self.join))
+
+    @cached_property
+    def test_examples(self) -> DataFrame:
+        return self.examples_split("test")
 
     def examples_split(self, name: str) -> DataFrame:
         return profiles.examples_of(self.examples, name)
@@ -143,11 +158,11 @@ class RecPlan:
 
     @cached_property
     def ranking_candidates_text(self) -> DataFrame:
-        return ex.ranking_candidates_text(self.examples_split("test"), self.truncated_texts)
+        return ex.ranking_candidates_text(self.test_examples, self.truncated_texts)
 
     @cached_property
     def ranking_candidates_structured(self) -> DataFrame:
-        return ex.ranking_candidates_structured(self.examples_split("test"), self.item_features)
+        return ex.ranking_candidates_structured(self.test_examples, self.item_features)
 
     @cached_property
     def user_candidates(self) -> DataFrame:
@@ -220,6 +235,9 @@ class RecPlan:
 
     @cached_property
     def evaluable_predictions_all_runs(self) -> DataFrame:
+        # both kinds read the test examples, ranking and truth the features
+        self.test_examples = materialize(self.test_examples, "test-examples")
+        self.item_features = self.item_features if self.materialize else materialize(self.item_features, "features")
         ranked = self.scored_ranking.withColumn("kind", F.lit("text")).unionByName(
             self.scored_ranking_structured.withColumn("kind", F.lit("structured"))
         )
