@@ -125,14 +125,15 @@ def lean_memory() -> None:
         ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
 
 
-def small_batches(batches: Iterable[pa.RecordBatch], text: str = "text", lean: bool = False) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most ``SLICE_BYTES`` of text; ``lean``, where memory is scarcer than time, calls ``lean_memory``."""
+def small_batches(batches: Iterable[pa.RecordBatch], text: str = "text", lean: bool = False,
+                  limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``limit`` bytes of text; ``lean``, where memory is scarcer than time, calls ``lean_memory``."""
     if lean:
         lean_memory()
     for batch in batches:
         if batch.num_rows:
             off, _ = texts(batch.column(text))
-            for lo, hi in slices(off):
+            for lo, hi in slices(off, limit):
                 yield batch.slice(lo, hi - lo)
 
 

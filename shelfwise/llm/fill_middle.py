@@ -39,6 +39,8 @@ SALT = 7
 RATE, SPM_RATE = 100, 50
 WINDOW, LEAST, MOST, MASK = 32, 512, 1 << 14, np.uint64((1 << 11) - 1)
 CACHE_BYTES = 16 << 20
+#: Text bytes whose rolling hashes a task holds at once.
+PIECE_BYTES = 1 << 18
 SCHEMA = "doc_id bigint, n bigint, form string, prefix_chars bigint, middle_chars bigint, output string"
 _ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("form", pa.string()), ("prefix_chars", pa.int64()),
                     ("middle_chars", pa.int64()), ("output", pa.large_string())])
@@ -125,7 +127,7 @@ def draws(salt: int, doc_id: int | None) -> tuple[int, int, int, int]:
 
 def transform(batches: Iterable[pa.RecordBatch], cache: Cache, salt: int, rate: int, spm_rate: int) -> Iterator[pa.RecordBatch]:
     p, s, m = PREFIX.encode(), SUFFIX.encode(), MIDDLE.encode()
-    for batch in small_batches(batches):
+    for batch in small_batches(batches, limit=PIECE_BYTES):
         off, data = texts(batch.column("text"))
         raw = data[off[0]:off[-1]]
         off = off - off[0]
@@ -169,13 +171,17 @@ def fill_in_middle(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def restored(output: Column, form: Column) -> Column:
-    """The text that ``output`` was made from; a reordered text holds no sentinel, so each stands there once."""
-    def part(text: Column, mark: str, k: int) -> Column:
-        return F.split_part(text, F.lit(mark), F.lit(k))
+    """The text that ``output`` was made from; a reordered text holds no sentinel, so each stands there once.
 
-    middle = part(output, MIDDLE, 2)
-    psm = F.concat(part(part(output, SUFFIX, 1), PREFIX, 2), middle, part(part(output, SUFFIX, 2), MIDDLE, 1))
-    spm = F.concat(part(part(output, PREFIX, 2), MIDDLE, 1), middle, part(part(output, PREFIX, 1), SUFFIX, 2))
+    The pieces are cut out by searches in the bytes, which copy a piece and nothing else.
+    """
+    middle, head = F.substring_index(output, MIDDLE, -1), F.substring_index(output, MIDDLE, 1)
+
+    def opening(mark: str) -> Column:  # between the sentinel at the start and ``mark``
+        return F.substring_index(output, mark, 1).substr(F.lit(len(PREFIX) + 1), F.octet_length(output))
+
+    psm = F.concat(opening(SUFFIX), middle, F.substring_index(head, SUFFIX, -1))
+    spm = F.concat(F.substring_index(head, PREFIX, -1), middle, opening(PREFIX))
     return F.when(form == "psm", psm).when(form == "spm", spm).otherwise(output)
 
 
