@@ -35,8 +35,8 @@ def sample_key(seed: int) -> Column:
 def _ranked_by_bucket(rows: DataFrame, seed: int) -> DataFrame:
     """``rows`` with ``_rk``, the place in the user's order, and ``_n``, the user's rows."""
     hot = rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("_all")).where(F.col("_all") > HOT_ROWS)
-    keyed = rows.join(F.broadcast(hot), "user_id", "left").withColumn("_key", sample_key(seed))
-    keyed = keyed.withColumn("_bucket", F.when(F.col("_all").isNotNull(), F.substring("_key", 1, 2)).otherwise(""))
+    keyed = rows.join(F.broadcast(hot), "user_id", "left")
+    keyed = keyed.withColumn("_bucket", F.when(F.col("_all").isNotNull(), F.substring(sample_key(seed), 1, 2)).otherwise(""))
     by_user = Window.partitionBy("user_id").orderBy("_bucket")
     # at most 256 rows a hot user
     counts = keyed.where(F.col("_all").isNotNull()).groupBy("user_id", "_bucket").agg(F.count("*").alias("_here")).select(
@@ -44,7 +44,9 @@ def _ranked_by_bucket(rows: DataFrame, seed: int) -> DataFrame:
         (F.sum("_here").over(by_user.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_here")).alias("_before"),
     )
     one = Window.partitionBy("user_id", "_bucket")
-    placed = keyed.withColumn("_rk", F.row_number().over(one.orderBy("_key", "item_id", "label")))
+    # the order key, longer than the row, is made where the rows meet: it is not shuffled
+    placed = keyed.repartition("user_id", "_bucket").withColumn("_key", sample_key(seed))
+    placed = placed.withColumn("_rk", F.row_number().over(one.orderBy("_key", "item_id", "label")))
     placed = placed.withColumn("_n", F.coalesce("_all", F.count("*").over(one)))
     return placed.join(counts, ["user_id", "_bucket"], "left").withColumn("_rk", F.coalesce("_before", F.lit(0)) + F.col("_rk"))
 

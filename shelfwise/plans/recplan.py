@@ -13,7 +13,7 @@ and processed files): lineage is cut, a lost executor never recomputes the
 whole upstream and every later query reads the stored rows. That is the mode
 for a production run at scale. The default keeps one lazy plan per query,
 which is faster for a single query on small inputs. The raw views
-(interactions, triples, entities), the split and the genres under the examples are
+(interactions, triples, entities), the split, the genres and the profiles under the examples are
 stored in either mode, as the files they stand for. Model scores are always materialised (the model must
 run once per prompt).
 """
@@ -100,9 +100,16 @@ class RecPlan:
     @cached_property
     def item_genres(self) -> DataFrame:
         """``item_id, genre`` of the features, from triples of that code alone; stored, profiles and examples read it."""
-        made = features.item_features(self.views.item_prop, self.views.mapping_entities, join=self.join, codes=(PROP_GENRE,))
+        stored = self.materialize or "item_prop" in vars(self.views)
+        triples = self.views.item_prop if stored else self.views.numbered_triples()
+        made = features.item_features(triples, self.views.mapping_entities, join=self.join, codes=(PROP_GENRE,))
         return materialize(made.select("item_id", "genre"), "genres")
 
+    @cached_property
+    def features_and_genres(self) -> tuple[DataFrame, DataFrame]:
+        """Both, for steps that read both: the features come first, so that the genres read their stored triples."""
+        return self.item_features, self.item_genres
+
     # -- C2 -----------------------------------------------------------------
     @cached_property
     def split_assignment(self) -> DataFrame:
@@ -124,11 +131,19 @@ class RecPlan:
         train_rows = self.split_rows.where(F.col("split") == "train")
         return profiles.user_profiles(train_rows, self.item_genres, self.join)
 
+    @cached_property
+    def profile_rows(self) -> DataFrame:
+        """The profiles as a stored table, which the examples read: the shuffles that make them go before the examples'.
+
+        They are merged, not broadcast: many users share a profile, so the files say little of the rows' size.
+        """
+        return materialize(self.user_profiles, "profiles").hint("merge")
+
     @cached_property
     def examples(self) -> DataFrame:
         self._prepare("split_rows", "item_genres")
         rows = profiles.tag_splits(self.split_rows, self.views.raw_test)
-        return self._stage(profiles.build_examples(rows, self.user_profiles, self.item_genres, self.join))
+        return self._stage(profiles.build_examples(rows, self.profile_rows, self.item_genres, self.join))
 
     @cached_property
     def test_examples(self) -> DataFrame:
@@ -154,6 +169,7 @@ class RecPlan:
 
     @cached_property
     def structured_examples(self) -> DataFrame:
+        self._prepare("split_rows", "features_and_genres")
         return ex.structured_examples(self.examples, self.item_features, self.join)
 
     @cached_property
@@ -162,6 +178,7 @@ class RecPlan:
 
     @cached_property
     def ranking_candidates_structured(self) -> DataFrame:
+        self._prepare("split_rows", "features_and_genres")
         return ex.ranking_candidates_structured(self.test_examples, self.item_features)
 
     @cached_property
@@ -235,6 +252,7 @@ class RecPlan:
 
     @cached_property
     def evaluable_predictions_all_runs(self) -> DataFrame:
+        self._prepare("split_rows", "features_and_genres")
         # both kinds read the test examples, ranking and truth the features
         self.test_examples = materialize(self.test_examples, "test-examples")
         self.item_features = self.item_features if self.materialize else materialize(self.item_features, "features")

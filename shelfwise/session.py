@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import shlex
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
@@ -78,6 +81,35 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_freeing: dict[str, tuple[int, str | None]] = {}  # by application: writes under way, the setting before the first
+_freeing_lock = threading.Lock()
+
+
+@contextmanager
+def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Queries begun inside give up their shuffle files as they end (several threads may be inside at once).
+
+    Without it they stay until the driver happens to collect its garbage.
+    """
+    key = f"{spark.sparkContext.applicationId} {spark._jsparkSession.hashCode()}"
+    with _freeing_lock:
+        inside, before = _freeing.get(key) or (0, spark.conf.get(_FREE, None))
+        _freeing[key] = (inside + 1, before)
+        spark.conf.set(_FREE, "true")
+    try:
+        yield
+    finally:
+        with _freeing_lock:
+            inside, before = _freeing.pop(key)
+            if inside > 1:
+                _freeing[key] = (inside - 1, before)
+            elif before is None:
+                spark.conf.unset(_FREE)
+            else:
+                spark.conf.set(_FREE, before)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut lineage: write ``df`` once as a parquet table in the shared
     checkpoint folder and continue from the stored files.
@@ -85,9 +117,11 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     Used after expensive stages (model scoring, stage outputs read by several
     later stages). Unlike ``DataFrame.checkpoint`` the plan runs exactly once,
     the files are columnar, and later filters and projections are pushed into
-    the scan. A lost executor never forces the upstream to run again.
+    the scan. A lost executor never forces the upstream to run again. The
+    write's shuffle files go when it ends: what is stored stands for them.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/shelfwise-{name}-{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
+    with _shuffles_freed(spark):
+        df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
