@@ -68,7 +68,8 @@ class CachedTokenizer:
     def _chunk(self, chunk: bytes) -> bytes:
         text = chunk.decode()
         m = self._CHUNK.fullmatch(text.lower()) if "Σ" not in text and unicodedata.is_normalized("NFC", text) else None
-        if m:
+        # what Python's tables don't know yet may be a letter in the tokenizer's
+        if m and (text.isascii() or all(unicodedata.category(c) != "Cn" for c in text)):
             ids = self._part(m[1]) + (self._part(m[2]) if m[2] else b"")
         else:
             ids = np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
